@@ -39,12 +39,38 @@ def _check_size(k: int, d: int) -> None:
         raise ValueError(f"{k} centroids of {d} numbers exceed the broadcast limit")
 
 
+def _fit(rows: DataFrame, k: int, seed: int, max_iter: int, metric: str, n_init: int) -> np.ndarray:
+    """Centers of the fit of lowest cost out of ``n_init`` starts."""
+    data = rows.select(_as_vector(rows.columns[0]).alias("features")).persist()
+    models = []
+    for i in range(n_init):
+        estimator = KMeans(
+            k=k, seed=seed + i, maxIter=max_iter, distanceMeasure=metric, initMode="k-means||",
+            initSteps=5, featuresCol="features",
+        )
+        models.append(estimator.fit(data))
+    data.unpersist()
+    best = min(models, key=lambda model: model.summary.trainingCost)
+    return np.array(best.clusterCenters())
+
+
+def _vectors(catalog: DataFrame, k: int, vector_column: str) -> DataFrame:
+    """The non-zero vectors, after a check that ``k`` centroids are small."""
+    rows = catalog.where(vectors.l2_norm(F.col(vector_column)) > 0).select(vector_column)
+    first = rows.select(F.size(vector_column).alias("d")).head()
+    if first is None:
+        raise ValueError("no vectors to cluster")
+    _check_size(k, first["d"])
+    return rows
+
+
 def kmeans(
     catalog: DataFrame,
     k: int = 8,
     seed: int = 42,
     max_iter: int = 300,
     metric: str = "cosine",
+    n_init: int = 1,
     vector_column: str = "embedding",
 ) -> DataFrame:
     """Centroids ``(cluster_id, centroid)`` of a distributed k-means.
@@ -52,29 +78,18 @@ def kmeans(
     ``metric`` is ``cosine`` (labels agree with the best cosine) or
     ``euclidean``. Rows with a zero vector do not take part in the fit.
     """
-    rows = catalog.where(vectors.l2_norm(F.col(vector_column)) > 0)
-    first = rows.select(F.size(vector_column).alias("d")).head()
-    if first is None:
-        raise ValueError("no vectors to cluster")
-    _check_size(k, first["d"])
-    estimator = KMeans(
-        k=k, seed=seed, maxIter=max_iter, distanceMeasure=metric, initMode="k-means||",
-        featuresCol="features",
-    )
-    model = estimator.fit(rows.select(_as_vector(vector_column).alias("features")))
-    return _centroid_table(catalog.sparkSession, model.clusterCenters())
+    rows = _vectors(catalog, k, vector_column)
+    return _centroid_table(catalog.sparkSession, _fit(rows, k, seed, max_iter, metric, n_init))
 
 
-def _cluster_sums(rows: DataFrame, centroids: DataFrame, metric: str, vector_column: str):
+def _cluster_sums(
+    rows: DataFrame, labels: np.ndarray, centers: np.ndarray, metric: str, vector_column: str
+) -> DataFrame:
     """``(cluster_id, n, total)``: members and vector sum of each cluster.
 
     Each task sends one row per cluster it saw.
     """
-    first = centroids.select(F.size("centroid").alias("d")).head()
-    _check_size(centroids.count(), first["d"])
-    table = centroids.orderBy("cluster_id").select("cluster_id", "centroid").toArrow()
-    labels = table["cluster_id"].to_numpy()
-    shared = rows.sparkSession.sparkContext.broadcast((labels, to_matrix(table["centroid"])))
+    shared = rows.sparkSession.sparkContext.broadcast((labels, centers))
 
     def run(batches):
         labels, c = shared.value
@@ -118,7 +133,11 @@ def lloyd_step(
     Tasks send one sum per cluster, not the vectors. Clusters that lose all
     members are absent.
     """
-    sums = _cluster_sums(catalog, centroids, metric, vector_column)
+    first = centroids.select(F.size("centroid").alias("d")).head()
+    _check_size(centroids.count(), first["d"])
+    table = centroids.select("cluster_id", "centroid").toArrow().sort_by("cluster_id")
+    labels, centers = table["cluster_id"].to_numpy(), to_matrix(table["centroid"])
+    sums = _cluster_sums(catalog, labels, centers, metric, vector_column)
     mean = F.transform("total", lambda x: x / F.col("n"))
     return sums.select("cluster_id", "n", mean.alias("centroid"))
 
@@ -130,6 +149,7 @@ def minibatch_kmeans(
     rounds: int = 20,
     batch_size: int = 2048,
     metric: str = "cosine",
+    n_init: int = 1,
     vector_column: str = "embedding",
 ) -> DataFrame:
     """Centroids from random batches, each moving the centroids it touches.
@@ -137,31 +157,23 @@ def minibatch_kmeans(
     All batches are drawn in one pass over the catalogue and written to the
     shared folder; each round reads only its own batch.
     """
-    spark = catalog.sparkSession
-    rows = catalog.where(vectors.l2_norm(F.col(vector_column)) > 0).select(vector_column)
-    n = rows.count()
-    if n == 0:
-        raise ValueError("no vectors to cluster")
-    drawn = rows.sample(True, rounds * batch_size / n, seed)
+    rows = _vectors(catalog, k, vector_column)
+    drawn = rows.sample(True, rounds * batch_size / rows.count(), seed)
     batches = materialize(
         drawn.withColumn("round", F.floor(F.rand(seed) * rounds).cast("int")), ["round"]
     )
-    start = KMeans(
-        k=k, seed=seed, maxIter=1, distanceMeasure=metric, featuresCol="features"
-    ).fit(batches.select(_as_vector(vector_column).alias("features")))
-    centers = np.array(start.clusterCenters())
-    _check_size(*centers.shape)
-    seen = np.zeros(len(centers))
+    centers = _fit(batches.drop("round"), k, seed, 1, metric, n_init)
+    labels, seen = np.arange(len(centers)), np.zeros(len(centers))
     space = "cosine" if metric == "cosine" else "l2"
     for i in range(rounds):
         batch = batches.where(F.col("round") == i)
-        current = _centroid_table(spark, _unit(centers, metric))
-        for row in _cluster_sums(batch, current, space, vector_column).collect():
+        sums = _cluster_sums(batch, labels, _unit(centers, metric), space, vector_column)
+        for row in sums.collect():
             c = row["cluster_id"]
             seen[c] += row["n"]
             pull = row["n"] / seen[c]
             centers[c] += pull * (np.array(row["total"]) / row["n"] - centers[c])
-    return _centroid_table(spark, _unit(centers, metric))
+    return _centroid_table(catalog.sparkSession, _unit(centers, metric))
 
 
 def _unit(centers: np.ndarray, metric: str) -> np.ndarray:
