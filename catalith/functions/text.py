@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 # Every code point that counts as whitespace.
 WHITESPACE = (
-    r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 # Fixed value: a token is two or more word characters or inner hyphens.
 TOKEN = r"[\p{L}\p{N}_][\p{L}\p{N}_\-]*[\p{L}\p{N}_]"
@@ -47,13 +48,15 @@ def strip_accents(col: Column) -> Column:
     return F.coalesce(changed, col)
 
 
-def collapse_whitespace(col: Column) -> Column:
-    return F.btrim(F.regexp_replace(col, WHITESPACE + "+", " "))
-
-
 def strip(col: Column) -> Column:
     """Remove Unicode whitespace from both ends."""
-    return F.regexp_replace(col, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(col, F.lit(WHITESPACE))
+
+
+def collapse_whitespace(col: Column) -> Column:
+    """One blank for each run of whitespace, none at the ends."""
+    blanks = F.translate(col, WHITESPACE, " " * len(WHITESPACE))
+    return F.btrim(F.regexp_replace(blanks, " {2,}", " "))
 
 
 def normalize_text(col: Column) -> Column:

@@ -39,3 +39,12 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when its input has fewer splits than there are.
+
+    Large inputs have more splits and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

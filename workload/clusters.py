@@ -25,7 +25,8 @@ def _unit_means(spark, folder):
 
 
 def _assigned(spark, folder):
-    return cluster.assign_catalog(catalog_vectors(spark, folder), _unit_means(spark, folder))
+    means = _label_means(spark, folder).select("cluster_id", "centroid")
+    return cluster.assign_catalog(catalog_vectors(spark, folder), means)
 
 
 def _cells(centroids, *keys):

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalith.session import spread
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{table}.parquet"))
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
