@@ -88,7 +88,7 @@ def _separated(spark, folder):
     """The vectors, each pulled towards an axis of its label."""
     shift = F.transform(
         "embedding",
-        lambda x, i: (x + F.when(i == F.col("group_id"), 3.0).otherwise(0.0)).cast("float"),
+        lambda x, i: (x + F.when(i == F.col("group_id"), 20.0).otherwise(0.0)).cast("float"),
     )
     return catalog_vectors(spark, folder).withColumn("embedding", shift)
 
@@ -102,18 +102,18 @@ def _recovered(assignments):
 
 def kmeans_fit(spark, folder):
     """k-means must find the ten labels in vectors pulled apart by label."""
-    assignments, _ = plans.cluster_catalog(_separated(spark, folder), 10, n_init=4)
+    assignments, _ = plans.cluster_catalog(_separated(spark, folder), 10, n_init=2)
     return _recovered(assignments)
 
 
 def kmeans_euclidean(spark, folder):
-    assignments, _ = plans.cluster_catalog(_separated(spark, folder), 10, metric="euclidean", n_init=4)
+    assignments, _ = plans.cluster_catalog(_separated(spark, folder), 10, metric="euclidean", n_init=2)
     return _recovered(assignments)
 
 
 def minibatch_fit(spark, folder):
     assignments, _ = plans.cluster_catalog(
-        _separated(spark, folder), 10, "minibatch", batch_size=512, n_init=4
+        _separated(spark, folder), 10, "minibatch", batch_size=512, n_init=2
     )
     return _recovered(assignments)
 
