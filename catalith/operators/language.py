@@ -13,6 +13,8 @@ from .lookup import lookup
 
 # Trigrams of a profile that is broadcast whole, about 100 MB at most.
 BROADCAST_GRAMS = 1_000_000
+# Languages whose totals are broadcast.
+BROADCAST_LANGUAGES = 10_000
 # The profile row for trigrams that a language never showed.
 UNSEEN = ""
 
@@ -31,13 +33,13 @@ def train_profiles(
     )
     counts = materialize(grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")))
     vocabulary = counts.select("gram").distinct().count()
-    # One row per language, so this table has as many rows as there are languages.
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    few = totals.count() <= BROADCAST_LANGUAGES
 
     def log_prob(n: Column) -> Column:
         return F.log((n + F.lit(1.0)) / (F.col("total") + F.lit(vocabulary)))
 
-    known = counts.join(F.broadcast(totals), "lang").select(
+    known = counts.join(F.broadcast(totals) if few else totals, "lang").select(
         "lang", "gram", "n", log_prob(F.col("n")).alias("log_prob")
     )
     unseen = totals.select(

@@ -8,18 +8,28 @@ from pyspark.sql import functions as F
 # Rows and key length of the broadcast part, at most about 16 MB.
 HOT_ROWS = 10_000
 HOT_KEY_LENGTH = 256
+# Rows of one key that a single task joins without harm.
+TASK_ROWS = 1_000_000
 
 
 def lookup(
-    rows: DataFrame, table: DataFrame, key: str, weight: str, how: str = "inner"
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    weight: str,
+    how: str = "inner",
+    most_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` joined with ``table`` on the text column ``key``.
 
     The keys with the largest ``weight`` (how many rows hold them) are
     broadcast, so their rows are not shuffled. Any other key then has at most
     one row in ``HOT_ROWS`` of all, and is joined by a shuffle. ``weight``
-    must not be null in ``table``.
+    must not be null in ``table``. If no key can have more than ``TASK_ROWS``
+    rows, as ``most_rows`` tells, one plain join does.
     """
+    if most_rows is not None and most_rows <= TASK_ROWS:
+        return rows.join(table, key, how)
     short = table.where(F.length(key) <= HOT_KEY_LENGTH)
     hot = short.orderBy(F.desc(weight), F.asc(key)).limit(HOT_ROWS)
     marked = rows.join(F.broadcast(hot), key, "left")

@@ -32,8 +32,8 @@ BLOCK_ROWS = 50_000
 # Numbers in one score matrix.
 TILE_NUMBERS = 8_000_000
 
-# Row count below which any usual vector fits the broadcast limit.
-_SURELY_SMALL = 2_048
+# Bytes of a row besides its vector: id and group.
+_KEY_BYTES = 64
 
 
 class Kernel(Protocol):
@@ -63,12 +63,15 @@ def tiles(rows: int, columns: int):
 
 
 def is_small(df: DataFrame, vector: str, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the vectors of ``df`` take at most ``limit`` bytes as doubles."""
+    """Whether ``df`` takes at most ``limit`` bytes with its vectors as doubles.
+
+    All vectors have one length, so the first tells it.
+    """
     rows = df.count()
-    if rows <= _SURELY_SMALL and limit >= BROADCAST_BYTES:
-        return True
+    if rows * _KEY_BYTES > limit:
+        return False
     first = df.select(F.size(vector).alias("d")).where("d > 0").head()
-    return first is None or rows * first["d"] * 8 <= limit
+    return first is None or rows * (first["d"] * 8 + _KEY_BYTES) <= limit
 
 
 def _map_right(left: DataFrame, right: DataFrame, kernel: Kernel, schema) -> DataFrame:

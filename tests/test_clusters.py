@@ -173,8 +173,10 @@ def model_tfidf(docs, max_df):
     return out
 
 
-def test_tfidf_with_hot_terms_and_bigrams(spark, monkeypatch):
+@pytest.mark.parametrize("task_rows", [0, 1000])
+def test_tfidf_with_hot_terms_and_bigrams(spark, monkeypatch, task_rows):
     monkeypatch.setattr("catalith.operators.lookup.HOT_ROWS", 4)
+    monkeypatch.setattr("catalith.operators.lookup.TASK_ROWS", task_rows)
     rng = np.random.default_rng(3)
     docs = [["common"] * 2 + [f"w{x}" for x in rng.integers(0, 12, 8)] for _ in range(20)]
     for d in docs[:5]:
