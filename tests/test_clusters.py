@@ -147,7 +147,7 @@ def test_report_tables(spark):
     assert [summary[c]["purity"] for c in range(3)] == [0.5, 0.5, 1.0]
     assert [summary[c]["size"] for c in range(3)] == [4, 2, 1]
     assert [summary[c]["exemplars"] for c in range(3)] == [["a", "c", "b"], ["e", "f"], ["h"]]
-    assert summary[0]["top_terms"] == ["red", "red valve", "valve"]
+    assert summary[0]["top_terms"] == ["pump", "red", "red valve"]
     assert summary[2]["top_terms"] == []
     total = found["report"].head()
     assert (total["clusters"], total["total_items"]) == (3, 7)

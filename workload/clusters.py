@@ -152,9 +152,10 @@ def cluster_summary(spark, folder):
     tables = report.cluster_report(
         _documents_by_language(spark, folder), document_views(spark, folder)
     )
-    found = tables["summary"]
-    for name in ("avg_sim", "purity"):
-        found = found.withColumn(name, F.round(name, 6))
+    # Means of three-digit numbers often end in a half at the sixth digit.
+    found = tables["summary"].withColumns(
+        {"avg_sim": F.round("avg_sim", 9), "purity": F.round("purity", 6)}
+    )
     for name in ("top_terms", "exemplars"):
         found = found.withColumn(name, text.json_list(F.col(name)))
     return found
@@ -418,7 +419,7 @@ lists AS (
 ids AS (
   SELECT cluster_id, '["' || string_agg(CAST(id AS VARCHAR), '","' ORDER BY r) || '"]' AS exemplars
   FROM near GROUP BY cluster_id)
-SELECT cluster_id, size, round(avg_sim, 6) AS avg_sim, g AS major_group, round(pct, 6) AS purity,
+SELECT cluster_id, size, round(avg_sim, 9) AS avg_sim, g AS major_group, round(pct, 6) AS purity,
        top_terms, exemplars
 FROM sizes JOIN major USING (cluster_id) JOIN lists USING (cluster_id) JOIN ids USING (cluster_id)""",
     "global_report": f"""
