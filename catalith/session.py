@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_BYTES = 64 << 20
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="catalith-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -21,9 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="catalith-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:

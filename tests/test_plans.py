@@ -121,6 +121,25 @@ def test_materialize_uses_the_shared_folder(spark):
     assert materialize(df.where("id < 0")).count() == 0
 
 
+class Unset:
+    """A session without the setting, on the given master."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+
+    def get(self, key, default):
+        return default
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    folder = shared_folder(Unset("local[2]"))
+    assert folder == shared_folder(Unset("local[4]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Unset("yarn"))
+
+
 def test_spread_leaves_wide_inputs(spark):
     wide = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
     assert spread(wide) is wide
