@@ -5,17 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import mixing, secrets, sharding
+from catalith.llm import merkle, mixing, secrets, sharding, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = warc.write_archives(_table(spark, folder, "pages"))
+    return warc.read_archives(manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
 
 
+def op6_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.edited_fingerprints(_table(spark, folder, "documents"))
+
+
 def op8_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.assign_shards(_table(spark, folder, "documents"))
     return placed.select(
@@ -28,9 +39,64 @@ def op10_find_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_archives": op1_warc_archives,
     "op2_mix_sources": op2_mix_sources,
+    "op6_merkle_fingerprints": op6_merkle_fingerprints,
     "op8_shard_documents": op8_shard_documents,
     "op10_find_secrets": op10_find_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+def _root_sql(text: str) -> str:
+    """The root of the tree: sections at blank lines, paragraphs at line breaks."""
+    paragraphs = r"list_transform(string_split(s, chr(10)), lambda p: md5(p))"
+    sections = (
+        f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: md5(array_to_string({paragraphs}, ',')))"
+    )
+    return f"sha256(array_to_string({sections}, ','))"
+
+
+def _spans_sql(text: str) -> str:
+    return rf"list_distinct(regexp_extract_all({text}, '[^\n]{{1,{merkle.SPAN}}}|\n'))"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    return (
+        f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE ELSE "
+        f"2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END"
+    )
+
+
+MERKLE_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+ring AS (
+  SELECT doc_id, body, length(body) AS n_chars,
+         coalesce(lead(body) OVER (ORDER BY doc_id DESC), first_value(body) OVER (ORDER BY doc_id DESC)) AS next_body
+  FROM texts),
+edits AS (
+  SELECT *, left(body, n_chars - n_chars // 2) || left(next_body, n_chars // 2) AS edited FROM ring),
+parts AS (
+  SELECT *, {_spans_sql("body")} AS own, {_spans_sql("edited")} AS changed, {_spans_sql("next_body")} AS follows
+  FROM edits)
+SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+       {_root_sql("body")} AS fingerprint, {_root_sql("edited")} AS edited_fingerprint,
+       {_likeness_sql("own", "changed")} AS near_edited, {_likeness_sql("own", "follows")} AS near_next
+FROM parts
+"""
+
+_FIVE_BITS = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> {}) & 31)::INT + 1, 1)"
+WARC_SQL = f"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+ranked AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM payloads)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(8), lambda i: {" || ".join(_FIVE_BITS.format(n) for n in (15, 10, 5, 0))}), '')
+         AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM ranked
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_warc_archives": WARC_SQL,
+    "op6_merkle_fingerprints": MERKLE_SQL,
+}
