@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import merkle, mixing, secrets, sharding, warc
+from catalith.llm import merkle, mixing, near_text, secrets, sharding, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
 
 
+def op4_near_texts(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_text.near_duplicates(_table(spark, folder, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.edited_fingerprints(_table(spark, folder, "documents"))
 
@@ -41,6 +46,7 @@ def op10_find_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_mix_sources": op2_mix_sources,
+    "op4_near_texts": op4_near_texts,
     "op6_merkle_fingerprints": op6_merkle_fingerprints,
     "op8_shard_documents": op8_shard_documents,
     "op10_find_secrets": op10_find_secrets,
