@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import merkle, mixing, near_text, secrets, sharding, warc
+from catalith.llm import merkle, mixing, near_text, near_vectors, secrets, sharding, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
 
 
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op4_near_texts(spark: SparkSession, folder: str) -> DataFrame:
     found = near_text.near_duplicates(_table(spark, folder, "documents"), width=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -46,6 +50,7 @@ def op10_find_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_mix_sources": op2_mix_sources,
+    "op3_near_vectors": op3_near_vectors,
     "op4_near_texts": op4_near_texts,
     "op6_merkle_fingerprints": op6_merkle_fingerprints,
     "op8_shard_documents": op8_shard_documents,
@@ -102,7 +107,25 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM ranked
 """
 
+# Labels have few vectors here, so all pairs of a label are compared.
+VECTORS_SQL = """
+WITH RECURSIVE whole AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm
+  FROM embeddings),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM whole a JOIN whole b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND isfinite(a.norm) AND isfinite(b.norm)
+    AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a)
+SELECT e.vec_id, (SELECT count(*) FROM pairs WHERE pairs.a = e.vec_id)::BIGINT AS n_links,
+       min(reach.b) AS component_id, e.vec_id = min(reach.b) AS kept
+FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_near_vectors": VECTORS_SQL,
     "op1_warc_archives": WARC_SQL,
     "op6_merkle_fingerprints": MERKLE_SQL,
 }
