@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import merkle, mixing, near_text, near_vectors, secrets, sharding, warc
+from catalith.llm import language_id, merkle, mixing, near_text, near_vectors, secrets, sharding, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.edited_fingerprints(_table(spark, folder, "documents"))
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language_report(_table(spark, folder, "documents"))
+
+
 def op8_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.assign_shards(_table(spark, folder, "documents"))
     return placed.select(
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_near_vectors": op3_near_vectors,
     "op4_near_texts": op4_near_texts,
     "op6_merkle_fingerprints": op6_merkle_fingerprints,
+    "op7_language": op7_language,
     "op8_shard_documents": op8_shard_documents,
     "op10_find_secrets": op10_find_secrets,
 }
