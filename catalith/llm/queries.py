@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import language_id, merkle, mixing, near_text, near_vectors, secrets, sharding, warc
+from catalith.llm import language_id, merkle, mixing, near_text, near_vectors, pieces, secrets, sharding, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_near_texts(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(_table(spark, folder, "documents"), pieces.load_vocabulary(), check=True)
+
+
 def op6_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.edited_fingerprints(_table(spark, folder, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_near_vectors": op3_near_vectors,
     "op4_near_texts": op4_near_texts,
+    "op5_pieces": op5_pieces,
     "op6_merkle_fingerprints": op6_merkle_fingerprints,
     "op7_language": op7_language,
     "op8_shard_documents": op8_shard_documents,
