@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import language_id, merkle, mixing, near_text, near_vectors, pieces, secrets, sharding, warc
+from catalith.llm import language_id, licenses, merkle, mixing, near_text, near_vectors, pieces, secrets, sharding, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op8_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, folder, "documents"))
+
+
 def op10_find_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(_table(spark, folder, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op6_merkle_fingerprints": op6_merkle_fingerprints,
     "op7_language": op7_language,
     "op8_shard_documents": op8_shard_documents,
+    "op9_license_scan": op9_license_scan,
     "op10_find_secrets": op10_find_secrets,
 }
 

@@ -3,8 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from catalith.llm import mixing, secrets
+from catalith.llm import language_id, mixing, near_text, pieces, secrets
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose text is in a known language."""
+    return language_id.keep_known(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies: five words, 0.8 or more."""
+    return near_text.one_of_each(docs)
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,12 +28,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts as ids of pieces; a document whose ids do not give its text again is an error."""
+    found = pieces.encode(docs, pieces.load_vocabulary(), carry=("doc_id", "lang", "source"), check=True)
+    wrong = F.raise_error(F.concat(F.lit("not decoded to its text: "), F.col("doc_id").cast("string")))
+    ids = F.when(F.coalesce("round_trip", F.lit(True)), F.col("ids")).otherwise(wrong.cast("array<int>"))
+    return found.select("doc_id", "lang", "source", ids.alias("ids"), "n_ids")
+
+
 STAGES = [
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
     ("secrets", scan_secrets),
     ("mixing", mix_sources),
+    ("pieces", encode_pieces),
 ]
 
-# The mixture depends on a hash of the documents, which SQL does not have.
+# Language models, minwise trees and the hash that rounds the mixture have no SQL form.
 ORACLE_SQL = None
 
 
