@@ -142,7 +142,7 @@ class Models:
         self.languages = sorted(counts)
         models = [KneserNey(counts[name]) for name in self.languages]
         self.grams, self.contexts = [], []
-        for order in range(1, ORDER + 1):
+        for order in range(1, ORDER + 1) if models else ():
             seen = sorted({g for m in models for g in m.counts[order]})
             self.grams.append(self._sorted(seen, lambda m, g: m.probability(g), models))
             heads = sorted({c for m in models for c in m.total[order]})
@@ -282,6 +282,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", docs: int = DOC
     for name, gram, n in zip(*(summed.column(c).to_pylist() for c in ("lang", "gram", "n")), strict=True):
         counts[name][gram] = n
     models = Models(counts)
+    if not counts:
+        return models
     # A tenth of the texts drawn tells how far good texts lie from the mean.
     held = drawn.where(F.col("place") < share * 0.1).select("lang", "body").toArrow()
     models.calibrate(held.column("body").to_pylist(), held.column("lang").to_pylist())

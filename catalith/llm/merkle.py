@@ -106,6 +106,11 @@ def next_keys(keys: DataFrame) -> DataFrame:
     )
 
 
+def _identity(key: Column) -> Column:
+    """A key as text that is never null."""
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
+
+
 def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited form, and their likeness.
 
@@ -114,25 +119,36 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
     """
     docs = df.select(
         F.col(key).alias("row_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body")
-    ).select("*", F.xxhash64("body").alias("row_hash"))
+    ).select("row_key", _identity(F.col("row_key")).alias("row_id"), "body", F.xxhash64("body").alias("row_hash"))
     keys = docs.select("row_key", "row_hash", F.length("body").alias("n_chars")).distinct()
-    # Both joins send the same table by the same keys, so it is sent once.
-    nexts = materialize(next_keys(keys))
+    nexts = materialize(next_keys(keys)).select(
+        "row_key",
+        "n_chars",
+        _identity(F.col("row_key")).alias("for_id"),
+        F.col("row_hash").alias("for_hash"),
+        _identity(F.col("next_key")).alias("row_id"),
+        F.col("next_hash").alias("row_hash"),
+    )
+    # Both joins take the same columns of the texts by the same keys, so the texts are sent
+    # once, and the groups are those of the second join, so they are not sent again.
+    bodies = docs.select("row_id", "row_hash", "body")
     starts = (
-        _joined(docs, nexts, "next_key", "next_hash")
+        bodies.join(nexts, ["row_id", "row_hash"])
         .select(
-            F.col("of.row_key").alias("for_key"),
-            F.col("of.row_hash").alias("for_hash"),
-            F.substring("body", F.lit(1), (F.col("of.n_chars") / 2).cast("int")).alias("start"),
+            "row_key",
+            "for_id",
+            "for_hash",
+            F.substring("body", F.lit(1), (F.col("n_chars") / 2).cast("int")).alias("start"),
             spans(F.col("body")).alias("next_spans"),
         )
-        .groupBy("for_key", "for_hash")
-        .agg(F.first("start").alias("start"), F.first("next_spans").alias("next_spans"))
+        .groupBy("for_id", "for_hash")
+        .agg(F.first("row_key").alias("row_key"), F.first("start").alias("start"), F.first("next_spans").alias("next_spans"))
+        .withColumnsRenamed({"for_id": "row_id", "for_hash": "row_hash"})
     )
     length = F.length("body")
     edited = F.concat(F.substring("body", F.lit(1), length - (length / 2).cast("int")), F.col("start"))
-    both = _joined(docs, starts, "for_key", "for_hash").select(
-        "d.row_key",
+    both = bodies.join(starts, ["row_id", "row_hash"]).select(
+        "row_key",
         "body",
         length.cast("long").alias("n_chars"),
         edited.alias("edited"),
@@ -148,8 +164,3 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
         likeness(F.col("own_spans"), spans(F.col("edited"))).alias("near_edited"),
         likeness(F.col("own_spans"), F.col("next_spans")).alias("near_next"),
     )
-
-
-def _joined(docs: DataFrame, other: DataFrame, key: str, row_hash: str) -> DataFrame:
-    same = F.col("d.row_key").eqNullSafe(F.col(f"of.{key}")) & (F.col("d.row_hash") == F.col(f"of.{row_hash}"))
-    return docs.alias("d").join(other.alias("of"), same)
