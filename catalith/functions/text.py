@@ -85,6 +85,10 @@ def repeat_count(weight: float, min_repeat: int = 1) -> int:
     return max(min_repeat, round(weight))
 
 
+# What the fields of a weighted text start with.
+LABELS = ("title:", "chapters:", "meta:")
+
+
 def embedding_text(
     title: Column,
     chapters: Column,
@@ -94,6 +98,7 @@ def embedding_text(
     w_meta: float = 0.5,
     prefix: str = "passage: ",
     min_repeat: int = 1,
+    labels: tuple[str, str, str] = LABELS,
 ) -> Column:
     """One labelled text per item in which a field is repeated by its weight.
 
@@ -107,9 +112,9 @@ def embedding_text(
 
     body = F.concat_ws(
         " \n",
-        field("title:", title, w_title),
-        field("chapters:", chapters, w_chaps),
-        field("meta:", meta, w_meta),
+        field(labels[0], title, w_title),
+        field(labels[1], chapters, w_chaps),
+        field(labels[2], meta, w_meta),
     )
     return F.concat(F.lit(prefix or ""), body)
 

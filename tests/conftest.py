@@ -26,9 +26,9 @@ def spark():
     session.stop()
 
 
-MASTER = "AC_MSN,GTI_NUMBER,RTI_NUMBER,TITLE,WORKLOAD\n"
-CHAPTERS = "AC_MSN,GTI_NUMBER,RTI_NUMBER,CHAPTER_NUMBER,TITLE,ATTESTATION_TYPE\n"
-ALIASES = {"AC_MSN": "scope", "GTI_NUMBER": "group_id", "RTI_NUMBER": "item_id"}
+MASTER = "FLEET,FAMILY,CARD,TITLE,WORKLOAD\n"
+CHAPTERS = "FLEET,FAMILY,CARD,CHAPTER_NUMBER,TITLE,ATTESTATION_TYPE\n"
+ALIASES = {"FLEET": "scope", "FAMILY": "group_id", "CARD": "item_id"}
 MASTER_ALIASES = {**ALIASES, "TITLE": "title", "WORKLOAD": "workload"}
 CHAPTER_ALIASES = {
     **ALIASES,

@@ -83,7 +83,7 @@ def test_contract_collects_all_failures(spark):
 def test_null_workload_is_allowed_and_missing_title_is_not(spark, load, tmp_path):
     master, _ = load("1,G,I1,T,\n", "1,G,I1,1,C,\n")
     assert rows(master, "item_id", "workload") == [("I1", None)]
-    path = csv(tmp_path, "AC_MSN,GTI_NUMBER,RTI_NUMBER\n1,G,I\n")
+    path = csv(tmp_path, "FLEET,FAMILY,CARD\n1,G,I\n")
     with pytest.raises(contracts.ContractError, match="title.min_length_1"):
         readers.load_master(spark, path, aliases=MASTER_ALIASES)
 
