@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors
 from .knn import attach_nearest
+from .pairwise import numbered
 
 
 def assign_new(
@@ -24,8 +25,9 @@ def assign_new(
     items without an id: they get row numbers.
     """
     if id_column is None:
-        rows = new_items.select(
-            F.monotonically_increasing_id().cast("string").alias("item_id"), vector_column
+        # Written, so that the numbers stay what they are.
+        rows = numbered(new_items.select(vector_column), "item_id").select(
+            F.col("item_id").cast("string").alias("item_id"), vector_column
         )
     else:
         rows = new_items.select(F.col(id_column).alias("item_id"), vector_column)

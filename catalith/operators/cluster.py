@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vectors
 from ..session import BROADCAST_BYTES, materialize
 from .knn import INNER_PRODUCT, attach_nearest, top_columns
-from .pairwise import tiles, to_matrix
+from .pairwise import is_small, tiles, to_matrix
+
+# Largest move of a centroid that counts as none.
+TOLERANCE = 1e-4
+# Rounds in which the start of a fit by tables draws far rows.
+STARTS = 5
+# Most batches of one pass of the mini-batch fit.
+PASS_BATCHES = 256
+# Share of its length that a centroid may move in the last pass.
+SETTLED = 0.01
 
 CENTROIDS = T.StructType(
     [
@@ -34,11 +44,6 @@ def _centroid_table(spark, centers) -> DataFrame:
     return spark.createDataFrame(rows, CENTROIDS)
 
 
-def _check_size(k: int, d: int) -> None:
-    if k * d * 8 > BROADCAST_BYTES:
-        raise ValueError(f"{k} centroids of {d} numbers exceed the broadcast limit")
-
-
 def _fit(rows: DataFrame, k: int, seed: int, max_iter: int, metric: str, n_init: int) -> np.ndarray:
     """Centers of the fit of lowest cost out of ``n_init`` starts."""
     data = rows.select(_as_vector(rows.columns[0]).alias("features")).persist()
@@ -54,16 +59,26 @@ def _fit(rows: DataFrame, k: int, seed: int, max_iter: int, metric: str, n_init:
     return np.array(best.clusterCenters())
 
 
-def _vectors(catalog: DataFrame, k: int, vector_column: str) -> DataFrame:
-    """The non-zero vectors, after a check that ``k`` centroids are small."""
-    rows = catalog.where(vectors.l2_norm(F.col(vector_column)) > 0).select(vector_column)
-    first = rows.select(F.size(vector_column).alias("d")).head()
-    if first is None:
+def _vectors(catalog: DataFrame, metric: str, vector_column: str) -> DataFrame:
+    """The vectors that take part in a fit; a zero vector has no direction for ``cosine``."""
+    rows = catalog.where(F.col(vector_column).isNotNull()).select(vector_column)
+    if metric == "cosine":
+        rows = rows.where(vectors.l2_norm(F.col(vector_column)) > 0)
+    if rows.head() is None:
         raise ValueError("no vectors to cluster")
-    _check_size(k, first["d"])
     return rows
 
 
+def zero_vectors(catalog: DataFrame, vector_column: str = "embedding") -> DataFrame:
+    """``(n)``: the rows that a fit by ``cosine`` leaves out."""
+    return catalog.agg(F.count_if(vectors.l2_norm(F.col(vector_column)) == 0).alias("n"))
+
+
+def _fits(rows: DataFrame, k: int, vector_column: str, limit: int) -> bool:
+    d = rows.select(F.size(vector_column).alias("d")).head()["d"]
+    return k * d * 8 <= limit
+
+
 def kmeans(
     catalog: DataFrame,
     k: int = 8,
@@ -72,14 +87,73 @@ def kmeans(
     metric: str = "cosine",
     n_init: int = 1,
     vector_column: str = "embedding",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Centroids ``(cluster_id, centroid)`` of a distributed k-means.
 
     ``metric`` is ``cosine`` (labels agree with the best cosine) or
-    ``euclidean``. Rows with a zero vector do not take part in the fit.
+    ``euclidean``. For ``cosine`` rows with a zero vector do not take part in
+    the fit, see :func:`zero_vectors`. Centroids beyond the broadcast limit stay
+    a table from step to step.
+    """
+    rows = _vectors(catalog, metric, vector_column)
+    if _fits(rows, k, vector_column, broadcast_bytes):
+        return _centroid_table(catalog.sparkSession, _fit(rows, k, seed, max_iter, metric, n_init))
+    return _fit_table(rows, k, seed, max_iter, metric, n_init, vector_column, broadcast_bytes)
+
+
+def _fit_table(rows, k, seed, max_iter, metric, n_init, vector_column, limit) -> DataFrame:
+    """Lloyd's steps with the centroids as a table: the best of ``n_init`` starts.
+
+    A start spreads ``k`` centers by drawing candidates and keeping, in turn of
+    a few rounds, those that are far from what is kept.
     """
-    rows = _vectors(catalog, k, vector_column)
-    return _centroid_table(catalog.sparkSession, _fit(rows, k, seed, max_iter, metric, n_init))
+    space = "cosine" if metric == "cosine" else "l2"
+    if metric == "cosine":
+        rows = rows.select(vectors.normalize(F.col(vector_column)).alias(vector_column))
+    rows = materialize(rows.withColumn("item_id", F.monotonically_increasing_id()))
+    best = None
+    for start in range(n_init):
+        centers = _start_table(rows, k, seed + start, space, vector_column, limit)
+        for _ in range(max_iter):
+            moved = lloyd_step(rows, centers, space, vector_column, limit).select("cluster_id", "centroid")
+            if metric == "cosine":
+                moved = unit_centroids(moved)
+            kept = centers.join(moved.withColumnRenamed("centroid", "moved"), "cluster_id", "left")
+            both = materialize(kept.select("cluster_id", "centroid", F.coalesce("moved", "centroid").alias("moved")))
+            gap = both.agg(F.max(vectors.euclidean(F.col("centroid"), F.col("moved")))).first()[0]
+            centers = both.select("cluster_id", F.col("moved").alias("centroid"))
+            if gap <= TOLERANCE:
+                break
+        hits = attach_nearest(rows, centers, 1, space, vector_column=vector_column, broadcast_bytes=limit)
+        quality = hits.agg(F.sum("score")).first()[0]
+        if best is None or quality > best[0]:
+            best = quality, centers
+    return best[1]
+
+
+def _start_table(rows, k, seed, space, vector_column, limit) -> DataFrame:
+    """``k`` rows as centers: one by hash, then far ones in a few rounds, then any."""
+    drawn = F.xxhash64("item_id", F.lit(seed))
+    first = rows.orderBy(drawn).limit(1)
+    centers = materialize(first.select("item_id", F.col(vector_column).alias("centroid")))
+    count = 1
+    for i in range(STARTS):
+        wanted = k - count if i == STARTS - 1 else min(k - count, math.ceil(k / STARTS))
+        if wanted <= 0:
+            break
+        named = centers.select(F.col("item_id").alias("cluster_id"), "centroid")
+        hits = attach_nearest(
+            rows, named, 1, "l2", vector_column=vector_column, broadcast_bytes=limit
+        )
+        # Weighted draws without return: the larger the distance, the earlier a row comes.
+        share = (F.shiftrightunsigned(F.xxhash64("item_id", F.lit(seed + i + 1)), 11) + 1) / float(1 << 53)
+        far = hits.where(F.col("score") < 0).withColumn("turn", -F.log(share) / (F.col("score") * F.col("score")))
+        more = far.orderBy("turn").limit(wanted).select("item_id", F.col(vector_column).alias("centroid"))
+        centers = materialize(centers.unionByName(more))
+        count = centers.count()
+    place = F.row_number().over(Window.orderBy("item_id")) - 1
+    return materialize(centers.select(place.cast("int").alias("cluster_id"), F.col("centroid").cast("array<double>")))
 
 
 def _cluster_sums(
@@ -127,14 +201,22 @@ def lloyd_step(
     centroids: DataFrame,
     metric: str = "l2",
     vector_column: str = "embedding",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One k-means step: ``(cluster_id, n, centroid)`` as means of the members.
 
     Tasks send one sum per cluster, not the vectors. Clusters that lose all
-    members are absent.
+    members are absent. Centroids beyond the broadcast limit are compared in
+    blocks.
     """
-    first = centroids.select(F.size("centroid").alias("d")).head()
-    _check_size(centroids.count(), first["d"])
+    centroids = centroids.select("cluster_id", "centroid")
+    if not is_small(centroids, "centroid", broadcast_bytes):
+        rows = catalog.where(F.col(vector_column).isNotNull()).select(vector_column)
+        hits = attach_nearest(
+            rows.withColumn("item_id", F.lit(None).cast("long")), centroids, 1, metric,
+            vector_column=vector_column, broadcast_bytes=broadcast_bytes,
+        )
+        return cluster_means(hits, vector_column=vector_column)
     table = centroids.select("cluster_id", "centroid").toArrow().sort_by("cluster_id")
     labels, centers = table["cluster_id"].to_numpy(), to_matrix(table["centroid"])
     sums = _cluster_sums(catalog, labels, centers, metric, vector_column)
@@ -146,33 +228,46 @@ def minibatch_kmeans(
     catalog: DataFrame,
     k: int = 8,
     seed: int = 42,
-    rounds: int = 20,
+    max_iter: int = 300,
     batch_size: int = 2048,
     metric: str = "cosine",
     n_init: int = 1,
     vector_column: str = "embedding",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Centroids from random batches, each moving the centroids it touches.
 
-    All batches are drawn in one pass over the catalogue and written to the
-    shared folder; each round reads only its own batch.
+    A pass deals all rows to batches of about ``batch_size`` rows, or to
+    ``PASS_BATCHES`` larger ones, and writes them to the shared folder; each round
+    reads only its own batch. There are at most ``max_iter`` passes; the fit ends
+    when a whole pass moves no centroid by more than ``SETTLED`` of its length.
+    Centroids beyond the broadcast limit are fitted by :func:`kmeans`.
     """
-    rows = _vectors(catalog, k, vector_column)
-    drawn = rows.sample(True, rounds * batch_size / rows.count(), seed)
-    batches = materialize(
-        drawn.withColumn("round", F.floor(F.rand(seed) * rounds).cast("int")), ["round"]
-    )
-    centers = _fit(batches.drop("round"), k, seed, 1, metric, n_init)
-    labels, seen = np.arange(len(centers)), np.zeros(len(centers))
+    rows = _vectors(catalog, metric, vector_column)
+    if not _fits(rows, k, vector_column, broadcast_bytes):
+        return kmeans(catalog, k, seed, max_iter, metric, n_init, vector_column, broadcast_bytes)
+    rounds = min(PASS_BATCHES, math.ceil(rows.count() / batch_size))
     space = "cosine" if metric == "cosine" else "l2"
-    for i in range(rounds):
-        batch = batches.where(F.col("round") == i)
-        sums = _cluster_sums(batch, labels, _unit(centers, metric), space, vector_column)
-        for row in sums.collect():
-            c = row["cluster_id"]
-            seen[c] += row["n"]
-            pull = row["n"] / seen[c]
-            centers[c] += pull * (np.array(row["total"]) / row["n"] - centers[c])
+    centers = None
+    for step in range(max_iter):
+        dealt = rows.withColumn("round", F.floor(F.rand(seed + step) * rounds).cast("int"))
+        batches = materialize(dealt.repartition("round"), ["round"])
+        if centers is None:
+            start = batches.where(F.col("round") < math.ceil(rounds / 4)).drop("round")
+            centers = _fit(start, k, seed, 1, metric, n_init)
+            labels, seen = np.arange(len(centers)), np.zeros(len(centers))
+        before = centers.copy()
+        for i in range(rounds):
+            batch = batches.where(F.col("round") == i)
+            sums = _cluster_sums(batch, labels, _unit(centers, metric), space, vector_column)
+            for row in sums.collect():
+                c = row["cluster_id"]
+                seen[c] += row["n"]
+                pull = row["n"] / seen[c]
+                centers[c] += pull * (np.array(row["total"]) / row["n"] - centers[c])
+        moves = np.linalg.norm(centers - before, axis=1)
+        if (moves <= SETTLED * (np.linalg.norm(before, axis=1) + vectors.EPSILON)).all():
+            break
     return _centroid_table(catalog.sparkSession, _unit(centers, metric))
 
 

@@ -11,18 +11,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_BYTES
-from .pairwise import is_small, pairwise, tiles, to_matrix
+from ..session import BROADCAST_BYTES, materialize
+from .pairwise import BLOCK_ROWS, LEFT_ROW, RIGHT_ROW, is_small, numbered, pairwise, same_length, tiles, to_matrix
 
 # Scores are compared after rounding to this many digits, so that equal
 # vectors tie whatever the order of the sums, and ties go to the smaller id.
 SCORE_DIGITS = 9
 
 INNER_PRODUCT = ("cosine", "ip", "inner_product")
+METRICS = (*INNER_PRODUCT, "l2", "euclidean")
+# The number of a row while it is compared with centers; it may have another one.
+_ATTACHED = "attached_row"
 # Doubtful pairs whose distance is computed anew at a time.
 _PAIRS = 200_000
 
 
+def parse_metric(metric: str) -> str:
+    """A metric's name in lower case; an unknown name is an error."""
+    name = metric.lower()
+    if name not in METRICS:
+        raise ValueError(f"unknown metric: {metric}")
+    return name
+
+
 def _similarity(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     if metric in INNER_PRODUCT:
         return np.round(q @ c.T, SCORE_DIGITS)
@@ -75,7 +86,7 @@ class TopK:
     exclude_self: bool
 
     def prepare(self, right: pa.Table):
-        right = right.sort_by("candidate_id")
+        right = right.sort_by([("candidate_id", "ascending"), ("candidate_group", "ascending")])
         vectors = to_matrix(right["candidate_vector"])
         return right["candidate_id"].combine_chunks(), right["candidate_group"].combine_chunks(), vectors
 
@@ -83,6 +94,7 @@ class TopK:
         ids, groups, c = prepared
         query_ids, q = left["query_id"].combine_chunks(), to_matrix(left["query_vector"])
         found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        same_length(q, c)
         if len(ids) and len(query_ids):
             blocked = self._own_columns(query_ids, ids)
             for start, stop in tiles(len(q), len(c)):
@@ -93,6 +105,7 @@ class TopK:
         rows, cols, scores = (np.concatenate(parts) for parts in zip(*found))
         return pa.table(
             {
+                LEFT_ROW: left[LEFT_ROW].combine_chunks().take(pa.array(rows)),
                 "query_id": query_ids.take(pa.array(rows)),
                 "candidate_id": ids.take(pa.array(cols)),
                 "candidate_group": groups.take(pa.array(cols)),
@@ -104,16 +117,20 @@ class TopK:
     def _own_columns(self, query_ids: pa.Array, ids: pa.Array):
         if not self.exclude_self:
             return ()
-        ordered, wanted = (a.to_numpy(zero_copy_only=False) for a in (ids, query_ids))
-        left = np.searchsorted(ordered, wanted, side="left")
-        return np.stack([left, np.searchsorted(ordered, wanted, side="right")], axis=1)
+        # Nulls are last, and a query without an id excludes nothing.
+        ordered = ids.slice(0, len(ids) - ids.null_count).to_numpy(zero_copy_only=False)
+        known = query_ids.is_valid().to_numpy(zero_copy_only=False)
+        wanted = query_ids.drop_null().to_numpy(zero_copy_only=False)
+        out = np.zeros((len(query_ids), 2), int)
+        out[known, 0] = np.searchsorted(ordered, wanted, side="left")
+        out[known, 1] = np.searchsorted(ordered, wanted, side="right")
+        return out
 
     def merge(self, partial: pa.Table) -> pa.Table:
         ordered = partial.sort_by(
-            [("query_id", "ascending"), ("score", "descending"), ("candidate_id", "ascending")]
+            [(LEFT_ROW, "ascending"), ("score", "descending"), ("candidate_id", "ascending"), ("candidate_group", "ascending")]
         )
-        query = pc.dictionary_encode(ordered["query_id"].combine_chunks()).indices
-        rank = _positions(query.to_numpy())
+        rank = _positions(ordered[LEFT_ROW].to_numpy())
         ordered = ordered.drop_columns("rank").append_column("rank", pa.array(rank, pa.int32()))
         return ordered.filter(pc.less_equal(ordered["rank"], self.k))
 
@@ -132,7 +149,9 @@ def rank_top_k(scored: DataFrame, k: int) -> DataFrame:
 
     Each task drops all but its own best ``k`` before the shuffle.
     """
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("candidate_id"))
+    order = Window.partitionBy(LEFT_ROW).orderBy(
+        F.desc("score"), F.asc_nulls_last("candidate_id"), F.asc_nulls_last("candidate_group")
+    )
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -143,6 +162,7 @@ def _type(df: DataFrame, column: str) -> T.DataType:
 def _neighbor_schema(queries: DataFrame, candidates: DataFrame) -> T.StructType:
     return T.StructType(
         [
+            T.StructField(LEFT_ROW, T.LongType()),
             T.StructField("query_id", _type(queries, "query_id")),
             T.StructField("candidate_id", _type(candidates, "candidate_id")),
             T.StructField("candidate_group", _type(candidates, "candidate_group")),
@@ -152,17 +172,14 @@ def _neighbor_schema(queries: DataFrame, candidates: DataFrame) -> T.StructType:
     )
 
 
-def _sides(queries, catalog, id_column, group_column, vector_column, cell=()):
-    q = queries.select(
-        F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector"), *cell
-    )
+def _candidates(catalog, id_column, group_column, vector_column, *others):
     c = catalog.select(
         F.col(id_column).alias("candidate_id"),
         F.col(group_column).alias("candidate_group"),
         F.col(vector_column).alias("candidate_vector"),
-        *cell,
+        *others,
     )
-    return q, c
+    return numbered(c, RIGHT_ROW)
 
 
 def nearest(
@@ -183,15 +200,17 @@ def nearest(
     larger score is closer for every metric: the inner product for ``cosine``
     (unit vectors) and ``ip``, the negative distance for ``l2``. Queries with
     fewer than ``k`` candidates get what there is. With ``exclude_self`` a
-    candidate with the id of the query does not count. See
+    candidate with the id of the query does not count. Each query row is answered
+    for itself, also if its id is null or repeated. See
     :mod:`.pairwise` for ``plan`` and ``limits``.
     """
-    q, c = _sides(queries, catalog, id_column, group_column, vector_column)
+    q = queries.select(F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector"))
+    q, c = numbered(q, LEFT_ROW), _candidates(catalog, id_column, group_column, vector_column)
     out, partial = pairwise(
-        q, c, TopK(k, metric.lower(), exclude_self), _neighbor_schema(q, c),
-        "query_id", "candidate_id", "query_vector", "candidate_vector", plan, **limits,
+        q, c, TopK(k, parse_metric(metric), exclude_self), _neighbor_schema(q, c),
+        "query_vector", "candidate_vector", plan, **limits,
     )
-    return rank_top_k(out, k) if partial else out
+    return (rank_top_k(out, k) if partial else out).drop(LEFT_ROW)
 
 
 def attach_nearest(
@@ -204,33 +223,33 @@ def attach_nearest(
     id_column: str = "item_id",
     vector_column: str = "embedding",
     broadcast_bytes: int = BROADCAST_BYTES,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Each row with its ``n`` best centers: all its columns, ``center_id``,
     ``score`` and ``rank``. Ties go to the smaller center id.
 
     While the centers fit the broadcast limit, rows stay where they are.
-    Beyond it they are compared in blocks and joined by ``id_column``.
+    Beyond it they are compared in blocks and joined by a number of each row.
     """
+    metric = parse_metric(metric)
     c = centers.select(
         F.col(center_id).alias("candidate_id"),
         F.lit(None).cast("int").alias("candidate_group"),
         F.col(center_vector).alias("candidate_vector"),
     )
     if not is_small(c, "candidate_vector", broadcast_bytes):
+        rows = numbered(rows, _ATTACHED)
         q = rows.select(
-            F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector")
+            F.col(_ATTACHED).alias(LEFT_ROW), F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector")
         )
         hits, _ = pairwise(
-            q, c, TopK(n, metric, False), _neighbor_schema(q, c), "query_id", "candidate_id",
-            "query_vector", "candidate_vector", "blocks",
+            q, numbered(c, RIGHT_ROW), TopK(n, metric, False), _neighbor_schema(q, c),
+            "query_vector", "candidate_vector", "blocks", block_rows=block_rows,
         )
         hits = rank_top_k(hits, n).select(
-            F.col("query_id").alias(id_column),
-            F.col("candidate_id").alias(center_id),
-            "score",
-            "rank",
+            F.col(LEFT_ROW).alias(_ATTACHED), F.col("candidate_id").alias(center_id), "score", "rank"
         )
-        return rows.join(hits, id_column)
+        return rows.join(hits, _ATTACHED).drop(_ATTACHED)
 
     kernel = TopK(n, metric, False)
     shared = rows.sparkSession.sparkContext.broadcast(kernel.prepare(c.toArrow()))
@@ -249,6 +268,7 @@ def attach_nearest(
             if not batch.num_rows or not len(ids):
                 continue
             q = to_matrix(batch.column(vector_column))
+            same_length(q, vectors)
             for start, stop in tiles(len(q), len(vectors)):
                 found, cols, scores = top_columns(q[start:stop], vectors, n, metric)
                 kept = batch.take(pa.array(found + start))
@@ -294,18 +314,24 @@ def nearest_in_cells(
     ``catalog_cells`` carries a ``cell_id``. With ``nprobe`` equal to the
     number of cells the result is exact.
     """
-    queries = queries.select(id_column, vector_column)
+    # A row keeps its number in all the cells it probes.
+    queries = numbered(queries.select(id_column, vector_column), LEFT_ROW)
     probed = assign_cells(
         queries, cells, nprobe, metric, id_column=id_column, vector_column=vector_column
     )
-    q, c = _sides(probed, catalog_cells, id_column, group_column, vector_column, ["cell_id"])
+    q = materialize(
+        probed.select(
+            LEFT_ROW, F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector"), "cell_id"
+        )
+    )
+    c = _candidates(catalog_cells, id_column, group_column, vector_column, "cell_id")
     limits = {} if block_rows is None else {"block_rows": block_rows}
     out, _ = pairwise(
-        q, c, TopK(k, metric.lower(), exclude_self), _neighbor_schema(q, c),
-        "query_id", "candidate_id", "query_vector", "candidate_vector",
+        q, c, TopK(k, parse_metric(metric), exclude_self), _neighbor_schema(q, c),
+        "query_vector", "candidate_vector",
         cell="cell_id", few_cells=is_small(cells, "centroid"), **limits,
     )
-    return rank_top_k(out, k)
+    return rank_top_k(out, k).drop(LEFT_ROW)
 
 
 def nearest_pairs(catalog: DataFrame, metric: str = "cosine", **options) -> DataFrame:
@@ -313,7 +339,7 @@ def nearest_pairs(catalog: DataFrame, metric: str = "cosine", **options) -> Data
     id_column = options.get("id_column", "item_id")
     group_column = options.get("group_column", "group_id")
     best = nearest(catalog, catalog, 1, metric, exclude_self=True, **options)
-    groups = catalog.select(F.col(id_column).alias("query_id"), F.col(group_column).alias("query_group"))
+    groups = catalog.select(F.col(id_column).alias("query_id"), F.col(group_column).alias("query_group")).distinct()
     return best.join(groups, "query_id").select(
         F.col("query_id").alias("item_id"),
         F.col("query_group").alias("group_id"),

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..session import materialize
 from .lookup import lookup
+from .pairwise import numbered
 
 # Trigrams of a profile that is broadcast whole, about 100 MB at most.
 BROADCAST_GRAMS = 1_000_000
 # Languages whose totals are broadcast.
 BROADCAST_LANGUAGES = 10_000
+_ROW = "language_row"
 # The profile row for trigrams that a language never showed.
 UNSEEN = ""
 
@@ -106,21 +108,23 @@ def detect_languages(
     df: DataFrame,
     profiles: DataFrame,
     fields: Mapping[str, str],
-    id_column: str = "item_id",
 ) -> DataFrame:
     """``df`` with a language column for each text: ``fields`` maps text to name.
 
-    A text without letters, or undecided between languages, gets null.
+    A text without letters, or undecided between languages, gets null. Each row
+    has its own languages, also if its id repeats.
     """
-    scores = language_scores(df, profiles, list(fields), id_column)
+    # Rows are told apart by a number of their own, as ids may repeat or be null.
+    df = numbered(df, _ROW)
+    scores = language_scores(df, profiles, list(fields), _ROW)
     langs = scores.withColumn("lang", _winner(F.col("scores")))
-    per_item = langs.groupBy(id_column).agg(
+    per_item = langs.groupBy(_ROW).agg(
         *[
             F.max(F.when(F.col("field") == field, F.col("lang"))).alias(name)
             for field, name in fields.items()
         ]
     )
-    return df.join(per_item, id_column, "left")
+    return df.join(per_item, _ROW, "left").drop(_ROW)
 
 
 def majority_code(*codes: Column) -> Column:
@@ -137,8 +141,8 @@ def majority_code(*codes: Column) -> Column:
     return F.array_max(ranked)["code"]
 
 
-def item_language(views: DataFrame, profiles: DataFrame, id_column: str = "item_id") -> DataFrame:
+def item_language(views: DataFrame, profiles: DataFrame) -> DataFrame:
     """``views`` with ``lang_title``, ``lang_chapters`` and ``lang_item``."""
     names = {"title_text": "lang_title", "chap_titles_text": "lang_chapters"}
-    found = detect_languages(views, profiles, names, id_column)
+    found = detect_languages(views, profiles, names)
     return found.withColumn("lang_item", majority_code(*map(F.col, names.values())))

@@ -11,7 +11,10 @@ leave a task, so pairs never become rows. Three plans give the same result:
   row count and each pair of blocks is one task's group. A cell column limits
   the pairs to those of the same cell; a hot cell gets more blocks.
 
-After ``left`` and ``blocks`` the caller merges the partial results.
+After ``left`` and ``blocks`` the caller merges the partial results. Rows are told
+apart by numbers of their own, the columns ``LEFT_ROW`` and ``RIGHT_ROW``, never
+by their ids, so null and repeated ids give the same result under every plan and
+do not fall into one block.
 """
 
 from __future__ import annotations
@@ -25,15 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_BYTES
+from ..session import BROADCAST_BYTES, materialize
+
+LEFT_ROW = "left_row"
+RIGHT_ROW = "right_row"
 
 # Rows of one block: 50,000 vectors of 768 numbers are 300 MB as double.
 BLOCK_ROWS = 50_000
 # Numbers in one score matrix.
 TILE_NUMBERS = 8_000_000
 
-# Bytes of a row besides its vector: id and group.
-_KEY_BYTES = 64
+# Bytes of a row besides what is measured: offsets and row numbers.
+_ROW_BYTES = 32
 
 
 class Kernel(Protocol):
@@ -51,11 +57,17 @@ def to_matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     if len(vectors) == 0:
         return np.zeros((0, 0))
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if vectors.null_count or len(flat) % len(vectors):
+    lengths = np.diff(vectors.offsets.to_numpy(zero_copy_only=False))
+    if vectors.null_count or (lengths != lengths[0]).any():
         raise ValueError("vectors must be present and of one length")
     return flat.reshape(len(vectors), -1)
 
 
+def same_length(q: np.ndarray, c: np.ndarray) -> None:
+    if len(q) and len(c) and q.shape[1] != c.shape[1]:
+        raise ValueError(f"vectors of {q.shape[1]} and of {c.shape[1]} numbers cannot be compared")
+
+
 def tiles(rows: int, columns: int):
     """Ranges of left rows whose score matrix stays within the tile size."""
     step = max(1, TILE_NUMBERS // max(1, columns))
@@ -65,13 +77,11 @@ def tiles(rows: int, columns: int):
 def is_small(df: DataFrame, vector: str, limit: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` takes at most ``limit`` bytes with its vectors as doubles.
 
-    All vectors have one length, so the first tells it.
+    One job sums the lengths of the vectors and of all other columns as text.
     """
-    rows = df.count()
-    if rows * _KEY_BYTES > limit:
-        return False
-    first = df.select(F.size(vector).alias("d")).where("d > 0").head()
-    return first is None or rows * (first["d"] * 8 + _KEY_BYTES) <= limit
+    others = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns if c != vector]
+    row = F.coalesce(F.size(vector), F.lit(0)) * 8 + sum(others, F.lit(_ROW_BYTES))
+    return (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit
 
 
 def _map_right(left: DataFrame, right: DataFrame, kernel: Kernel, schema) -> DataFrame:
@@ -111,6 +121,11 @@ def _map_left(left: DataFrame, right: DataFrame, kernel: Kernel, schema, block_r
     return right.mapInArrow(run, schema)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once, with a number for each row that no other row has."""
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def _block(key: str, blocks) -> F.Column:
     return F.pmod(F.xxhash64(key), blocks).cast("int")
 
@@ -139,19 +154,15 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _grid(left, right, left_key, right_key, kernel, schema, block_rows) -> DataFrame:
+def _grid(left, right, kernel, schema, block_rows) -> DataFrame:
     n_left = max(1, math.ceil(left.count() / block_rows))
     n_right = max(1, math.ceil(right.count() / block_rows))
-    lefts = left.withColumns(
-        {"lb": _block(left_key, F.lit(n_left)), "rb": _copies(F.lit(n_right))}
-    )
-    rights = right.withColumns(
-        {"rb": _block(right_key, F.lit(n_right)), "lb": _copies(F.lit(n_left))}
-    )
+    lefts = left.withColumns({"lb": _block(LEFT_ROW, F.lit(n_left)), "rb": _copies(F.lit(n_right))})
+    rights = right.withColumns({"rb": _block(RIGHT_ROW, F.lit(n_right)), "lb": _copies(F.lit(n_left))})
     return _cogroup(lefts, rights, ["lb", "rb"], kernel, schema)
 
 
-def _cell_grid(left, right, left_key, right_key, cell, few_cells, kernel, schema, block_rows):
+def _cell_grid(left, right, cell, few_cells, kernel, schema, block_rows):
     """Block pairs within cells: a cell gets blocks by its own row counts."""
 
     def blocks(df, name):
@@ -162,10 +173,10 @@ def _cell_grid(left, right, left_key, right_key, cell, few_cells, kernel, schema
     if few_cells:
         sizes = F.broadcast(sizes)
     lefts = left.join(sizes, cell).withColumns(
-        {"lb": _block(left_key, F.col("n_left")), "rb": _copies(F.col("n_right"))}
+        {"lb": _block(LEFT_ROW, F.col("n_left")), "rb": _copies(F.col("n_right"))}
     )
     rights = right.join(sizes, cell).withColumns(
-        {"rb": _block(right_key, F.col("n_right")), "lb": _copies(F.col("n_left"))}
+        {"rb": _block(RIGHT_ROW, F.col("n_right")), "lb": _copies(F.col("n_left"))}
     )
     drop = ["n_left", "n_right"]
     return _cogroup(lefts.drop(*drop), rights.drop(*drop), [cell, "lb", "rb"], kernel, schema)
@@ -176,8 +187,6 @@ def pairwise(
     right: DataFrame,
     kernel: Kernel,
     schema: T.StructType,
-    left_key: str,
-    right_key: str,
     left_vector: str,
     right_vector: str,
     plan: str = "auto",
@@ -189,13 +198,16 @@ def pairwise(
     """Reduced rows of the comparison, and whether they still need merging.
 
     ``few_cells`` says that the cells passed :func:`is_small`, so a table with
-    one short row per cell may be broadcast.
+    one short row per cell may be broadcast. ``left`` has ``LEFT_ROW`` and
+    ``right`` has ``RIGHT_ROW``, see :func:`numbered`. A side that a plan
+    broadcasts must fit, also if the plan is given.
     """
     if cell is not None:
-        out = _cell_grid(
-            left, right, left_key, right_key, cell, few_cells, kernel, schema, block_rows
-        )
-        return out, True
+        return _cell_grid(left, right, cell, few_cells, kernel, schema, block_rows), True
+    if plan in ("right", "left"):
+        side, vector = (right, right_vector) if plan == "right" else (left, left_vector)
+        if not is_small(side, vector, broadcast_bytes):
+            raise ValueError(f"the {plan} side exceeds the broadcast limit of {broadcast_bytes} bytes")
     if plan == "auto":
         if is_small(right, right_vector, broadcast_bytes):
             plan = "right"
@@ -210,5 +222,5 @@ def pairwise(
     if plan == "left":
         return _map_left(left, right, kernel, schema, block_rows), True
     if plan == "blocks":
-        return _grid(left, right, left_key, right_key, kernel, schema, block_rows), True
+        return _grid(left, right, kernel, schema, block_rows), True
     raise ValueError(f"unknown plan: {plan}")

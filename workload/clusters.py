@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions import text
 from catalith.operators import assign, cluster, quality, report
+from catalith.operators.knn import attach_nearest
 from catalith.plans import clusters as plans
 
 from .neighbors import DOUBLES_SQL, MEANS_SQL
@@ -44,6 +45,12 @@ def lloyd_step(spark, folder):
     return _cells(cluster.lloyd_step(catalog_vectors(spark, folder), start), "n")
 
 
+def lloyd_step_blocked(spark, folder):
+    """The same step with centroids that count as too large to broadcast."""
+    start = _label_means(spark, folder).select("cluster_id", "centroid")
+    return _cells(cluster.lloyd_step(catalog_vectors(spark, folder), start, broadcast_bytes=1), "n")
+
+
 def assign_catalog(spark, folder):
     return _assigned(spark, folder)
 
@@ -52,6 +59,21 @@ def assign_new_outlier(spark, folder):
     return assign.assign_new(catalog_vectors(spark, folder), _unit_means(spark, folder), 0.35)
 
 
+def _repeated_assignment(spark, folder, **limits):
+    """New items of which some have no id and some share one."""
+    item = F.when(F.col("item_id") % 7 == 0, None).otherwise(F.floor(F.col("item_id") / 3)).cast("long")
+    new = catalog_vectors(spark, folder).withColumn("item_id", item)
+    return assign.assign_new(new, _unit_means(spark, folder), 0.35, **limits)
+
+
+def assign_repeated_ids(spark, folder):
+    return _repeated_assignment(spark, folder)
+
+
+def assign_repeated_ids_blocked(spark, folder):
+    return _repeated_assignment(spark, folder, broadcast_bytes=1)
+
+
 def label_disagreement(spark, folder):
     means = _label_means(spark, folder).select("cluster_id", "centroid")
     return cluster.label_disagreement(catalog_vectors(spark, folder), means)
@@ -68,7 +90,14 @@ def silhouette_exact(spark, folder):
 
 def silhouette_blocked(spark, folder):
     """The silhouette of every item, compared block by block."""
-    found = quality.silhouette_by_item(_by_label(spark, folder), plan="blocks", block_rows=600)
+    found = quality.silhouette_by_item(_by_label(spark, folder), plan="blocks", block_rows=60)
+    return found.withColumn("silhouette", F.round("silhouette", 6))
+
+
+def silhouette_repeated_ids(spark, folder):
+    """Ids that repeat change nothing: every row is an item."""
+    rows = _by_label(spark, folder).withColumn("item_id", F.floor(F.col("item_id") / 50))
+    found = quality.silhouette(rows, plan="blocks", block_rows=60)
     return found.withColumn("silhouette", F.round("silhouette", 6))
 
 
@@ -111,6 +140,14 @@ def kmeans_euclidean(spark, folder):
     return _recovered(assignments)
 
 
+def kmeans_blocked(spark, folder):
+    """The fit with centroids that count as too large to broadcast."""
+    vectors_ = _separated(spark, folder)
+    centers = cluster.kmeans(vectors_, 10, max_iter=20, metric="euclidean", n_init=2, broadcast_bytes=1)
+    hits = attach_nearest(vectors_, centers, metric="l2").withColumnRenamed("score", "sim_to_centroid")
+    return _recovered(hits.drop("rank"))
+
+
 def minibatch_fit(spark, folder):
     assignments, _ = plans.cluster_catalog(
         _separated(spark, folder), 10, "minibatch", batch_size=512, n_init=2
@@ -223,14 +260,19 @@ QUERIES = {
     for f in (
         cluster_centroids,
         lloyd_step,
+        lloyd_step_blocked,
         assign_catalog,
         assign_new_outlier,
+        assign_repeated_ids,
+        assign_repeated_ids_blocked,
         label_disagreement,
         silhouette_exact,
         silhouette_blocked,
+        silhouette_repeated_ids,
         davies_bouldin,
         cluster_quality,
         kmeans_fit,
+        kmeans_blocked,
         kmeans_euclidean,
         minibatch_fit,
         group_distribution,
@@ -336,6 +378,15 @@ moved AS (
   SELECT a.cluster_id, unnest(v.e) AS x, generate_subscripts(v.e, 1) AS p FROM a JOIN v USING (id))
 SELECT cluster_id, count(*) AS n, CAST(p - 1 AS INTEGER) AS pos, round(avg(x), 6) AS value
 FROM moved GROUP BY cluster_id, p""",
+    "lloyd_step_blocked": "lloyd_step",
+    "kmeans_blocked": "kmeans_fit",
+    "assign_repeated_ids_blocked": "assign_repeated_ids",
+    "assign_repeated_ids": f"""
+WITH {_ASSIGNED_SQL}
+SELECT CASE WHEN id % 7 <> 0 THEN id // 3 END AS item_id,
+       CASE WHEN s >= 0.35 THEN cluster_id ELSE -1 END AS assigned_cluster, s AS score, 1 AS rank
+FROM a""",
+    "silhouette_repeated_ids": "silhouette_exact",
     "assign_catalog": f"""
 WITH {_ASSIGNED_SQL}
 SELECT id AS item_id, g AS group_id, cluster_id, s AS sim_to_centroid FROM a""",
@@ -447,3 +498,5 @@ SELECT k, round(purity, 6) AS purity, round(silhouette, 6) AS silhouette,
        row_number() OVER (ORDER BY score DESC, k) = 1 AS best
 FROM scored""",
 }
+# Queries that must give what another one gives.
+ORACLES = {name: ORACLES.get(sql, sql) for name, sql in ORACLES.items()}

@@ -125,7 +125,7 @@ def scope_views(spark, folder):
     scopes = order_items(spark, folder).select("item_id", "scope")
     chapters = order_chapters(spark, folder).join(scopes, "item_id")
     return prepare(
-        order_items(spark, folder), chapters, "F", ["workload", "attestation"], GENERIC_PARTS
+        order_items(spark, folder), chapters, "F", ["workload", "attestation"], GENERIC_PARTS, trimmed=True
     )
 
 

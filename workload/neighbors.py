@@ -43,12 +43,45 @@ def knn_exact(spark, folder):
 
 def knn_broadcast_queries(spark, folder):
     catalog = catalog_vectors(spark, folder)
-    return knn.nearest(catalog, catalog, K, exclude_self=True, plan="left", block_rows=150)
+    return knn.nearest(catalog, catalog, K, exclude_self=True, plan="left", block_rows=20)
 
 
 def knn_blocked(spark, folder):
     catalog = catalog_vectors(spark, folder)
-    return knn.nearest(catalog, catalog, K, exclude_self=True, plan="blocks", block_rows=512)
+    return knn.nearest(catalog, catalog, K, exclude_self=True, plan="blocks", block_rows=60)
+
+
+def _repeated(catalog):
+    """Vectors of which some have no id and some share one."""
+    item = F.when(F.col("item_id") % 7 == 0, None).otherwise(F.floor(F.col("item_id") / 3))
+    return catalog.withColumn("item_id", item.cast("long"))
+
+
+def _repeated_ids(spark, folder, **options):
+    queries = _repeated(catalog_vectors(spark, folder))
+    found = knn.nearest(queries, catalog_vectors(spark, folder), 3, exclude_self=True, **options)
+    return found.select("query_id", "candidate_id", "score", "rank")
+
+
+def knn_repeated_ids_right(spark, folder):
+    return _repeated_ids(spark, folder, plan="right")
+
+
+def knn_repeated_ids_left(spark, folder):
+    return _repeated_ids(spark, folder, plan="left", block_rows=40)
+
+
+def knn_repeated_ids_blocks(spark, folder):
+    return _repeated_ids(spark, folder, plan="blocks", block_rows=60)
+
+
+def knn_repeated_ids_cells(spark, folder):
+    catalog = catalog_vectors(spark, folder)
+    cells = _cells(catalog)
+    found = knn.nearest_in_cells(
+        _repeated(catalog), knn.assign_cells(catalog, cells), cells, 3, nprobe=10, exclude_self=True, block_rows=60
+    )
+    return found.select("query_id", "candidate_id", "score", "rank")
 
 
 def knn_l2(spark, folder):
@@ -98,6 +131,10 @@ QUERIES = {
         knn_exact,
         knn_broadcast_queries,
         knn_blocked,
+        knn_repeated_ids_right,
+        knn_repeated_ids_left,
+        knn_repeated_ids_blocks,
+        knn_repeated_ids_cells,
         knn_l2,
         knn_cells_all,
         knn_cells_probed,
@@ -157,7 +194,21 @@ per_query AS (
   FROM running JOIN cuts ON rank <= k GROUP BY ALL)
 """
 
+_REPEATED = f"""
+WITH {DOUBLES_SQL},
+q AS (SELECT id AS n, CASE WHEN id % 7 <> 0 THEN id // 3 END AS id, e FROM v),
+ranked AS (
+  SELECT q.id AS query_id, c.id AS candidate_id, {DOT_SQL} AS score,
+         CAST(row_number() OVER (PARTITION BY q.n ORDER BY {DOT_SQL} DESC, c.id) AS INTEGER) AS rank
+  FROM q JOIN v c ON q.id IS NULL OR q.id <> c.id QUALIFY rank <= 3)
+SELECT query_id, candidate_id, score, rank FROM ranked
+"""
+
 ORACLES = {
+    "knn_repeated_ids_right": _REPEATED,
+    "knn_repeated_ids_left": _REPEATED,
+    "knn_repeated_ids_blocks": _REPEATED,
+    "knn_repeated_ids_cells": _REPEATED,
     "vector_norms": """
 SELECT vec_id AS item_id, round(sqrt(list_inner_product(u, u)), 6) AS norm,
        round(list_inner_product(u, u), 6) AS square

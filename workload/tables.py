@@ -9,7 +9,12 @@ from catalith.session import spread
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{table}.parquet"))
+    return spark.read.parquet(f"{folder}/{table}.parquet")
+
+
+def read_wide(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table of long rows, of which a file of one row group has too many for a task."""
+    return spread(read(spark, folder, table))
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,7 +55,7 @@ GENERIC_SQL = "lower(chapter_title) IN ('red widget', 'hot bolt', 'large ring',
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return read(spark, folder, "documents").withColumn("lines", F.split("text", "\n"))
+    return read_wide(spark, folder, "documents").withColumn("lines", F.split("text", "\n"))
 
 
 def document_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,6 +113,6 @@ views AS (
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     """``(item_id, group_id, embedding)``."""
-    return read(spark, folder, "embeddings").select(
+    return read_wide(spark, folder, "embeddings").select(
         F.col("vec_id").alias("item_id"), F.col("label").alias("group_id"), "embedding"
     )
