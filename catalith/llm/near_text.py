@@ -44,7 +44,7 @@ TOKENS = 64
 TREES = 8
 DEPTH = 3
 NODE = 512
-BLOCK = 512
+BLOCK = 192
 BLOCK_SHINGLES = 1 << 21
 #: A pair at 0.8 shares 51 of 64 tokens on average; fewer than 38 has a probability of 5e-5.
 SHARED = 38

@@ -193,7 +193,7 @@ class Encoder:
             return np.zeros(0, dtype=np.int32)
         marked = SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)
         if not self.v.breaks:
-            return np.fromiter(chain(self.stream.push(marked), self.stream.close()), dtype=np.int32)
+            return np.array(self._viterbi(marked), dtype=np.int32)
         parts = self.PARTS.findall(marked)
         found = list(map(self.known.get, parts))
         if None in found:

@@ -208,20 +208,20 @@ def read_file(source) -> Iterator[dict]:
             rest = b""
     unpacker = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
     frame, out = unpacker.decompressobj(), []
-    data = rest
+    data, inside = rest, False
     while True:
         if not data:
             data = source.read(1 << 20)
             if not data:
                 break
         out.append(frame.decompress(data))
-        data = b""
+        data, inside = b"", True
         if frame.eof:
             record = _parse(b"".join(out))
             if record:
                 yield record
-            data, out, frame = frame.unused_data, [], unpacker.decompressobj()
-    if any(out):
+            data, out, frame, inside = frame.unused_data, [], unpacker.decompressobj(), False
+    if inside:
         raise ValueError("the archive ends inside a record")
 
 
