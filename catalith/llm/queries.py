@@ -139,7 +139,67 @@ SELECT e.vec_id, (SELECT count(*) FROM pairs WHERE pairs.a = e.vec_id)::BIGINT A
 FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
 """
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _matches_sql(pattern: str, columns: str) -> str:
+    """The matches of a pattern in order, with the pieces of text between them."""
+    p = _quoted(pattern)
+    return (
+        f"SELECT doc_id, {columns}, regexp_extract_all(body, {p}) AS f, string_split_regex(body, {p}) AS gaps "
+        f"FROM texts WHERE regexp_matches(body, {p})"
+    )
+
+
+def _placed_sql(source: str) -> str:
+    """One row per match, with its place in code points."""
+    return f"""
+  SELECT * EXCLUDE (f, gaps, i), f[i] AS part,
+         CAST(list_sum(list_transform(gaps[1:i], lambda g: len(g)))
+           + coalesce(list_sum(list_transform(f[1:i - 1], lambda g: len(g))), 0) AS BIGINT) AS start
+  FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM {source})"""
+
+
+_ALLOWED_SQL = " OR ".join(f"regexp_matches(part, {_quoted(p)})" for p in secrets.ALLOWED)
+_BASE_KINDS = ((secrets.ASSIGN, 0), (secrets.ACCESS, 1), (secrets.HEX, 2))
+SECRETS_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+known AS ({" UNION ALL ".join(_matches_sql(p, f"{k} AS rank, '{secrets.KINDS[k]}' AS kind") for p, k in _BASE_KINDS)}),
+base AS (
+  SELECT doc_id, rank, kind, start, start + len(part) AS stop FROM ({_placed_sql("known")})
+  WHERE rank <> 0 OR len(regexp_extract(part, {_quoted(secrets.ASSIGN)}, 2)) >= {secrets.ASSIGN_CHARS}),
+random AS ({" UNION ALL ".join(
+    _matches_sql(r.pattern, f"{r.width} AS width, CAST({r.bits} AS DOUBLE) AS bits, {str(r.fold).lower()} AS folded")
+    for r in secrets.RUNS)}),
+runs AS (
+  SELECT *, CASE WHEN folded THEN lower(part) ELSE part END AS seen FROM ({_placed_sql("random")}) AS r
+  WHERE regexp_matches(part, '[0-9]') AND regexp_matches(part, '[A-Za-z]') AND NOT ({_ALLOWED_SQL})
+    AND NOT EXISTS (
+      SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start <= r.start AND b.stop >= r.start + len(part))),
+windows AS (SELECT *, unnest(range(1, len(seen) - width + 2)) AS w FROM runs),
+letters AS (SELECT doc_id, start, width, bits, part, w, unnest(string_split(substr(seen, w, width), '')) AS c FROM windows),
+counts AS (SELECT doc_id, start, width, bits, part, w, c, count(*) AS n FROM letters GROUP BY ALL),
+bits AS (
+  SELECT doc_id, start, width, bits, part, w, -sum(n / width * log2(n / width)) AS h FROM counts
+  GROUP BY doc_id, start, width, bits, part, w),
+fresh AS (
+  SELECT DISTINCT doc_id, 3 AS rank, 'entropy' AS kind, start, start + len(part) AS stop FROM (
+    SELECT doc_id, start, part, bits, max(h) AS h FROM bits GROUP BY ALL) WHERE round(h, 9) >= bits),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM fresh),
+shown AS (
+  SELECT doc_id,
+         count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+         coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) FILTER (rank < 3), '') AS known,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(known, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN shown USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op10_find_secrets": SECRETS_SQL,
     "op3_near_vectors": VECTORS_SQL,
     "op1_warc_archives": WARC_SQL,
     "op6_merkle_fingerprints": MERKLE_SQL,
