@@ -139,6 +139,32 @@ SELECT e.vec_id, (SELECT count(*) FROM pairs WHERE pairs.a = e.vec_id)::BIGINT A
 FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
 """
 
+TEXTS_SQL = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+                 ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM listed),
+classes AS (SELECT min(doc_id) AS doc_id, s, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
+tokens AS (SELECT doc_id, n, unnest(s) AS t FROM classes),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b
+    ON a.t = b.t AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM classes
+  UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a),
+roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(roots.component_id, sets.doc_id) AS component_id,
+       sets.doc_id = coalesce(roots.component_id, sets.doc_id) AS kept
+FROM sets LEFT JOIN classes ON len(sets.s) > 0 AND list_sort(sets.s) = classes.s LEFT JOIN roots ON roots.doc_id = classes.doc_id
+"""
+
+
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -199,6 +225,7 @@ FROM texts LEFT JOIN shown USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {
+    "op4_near_texts": TEXTS_SQL,
     "op10_find_secrets": SECRETS_SQL,
     "op3_near_vectors": VECTORS_SQL,
     "op1_warc_archives": WARC_SQL,
