@@ -46,7 +46,8 @@ def _centroid_table(spark, centers) -> DataFrame:
 
 def _fit(rows: DataFrame, k: int, seed: int, max_iter: int, metric: str, n_init: int) -> np.ndarray:
     """Centers of the fit of lowest cost out of ``n_init`` starts."""
-    data = rows.select(_as_vector(rows.columns[0]).alias("features")).persist()
+    # Starts and steps read the written vectors, not what they are made of.
+    data = materialize(rows).select(_as_vector(rows.columns[0]).alias("features"))
     models = []
     for i in range(n_init):
         estimator = KMeans(
@@ -54,7 +55,6 @@ def _fit(rows: DataFrame, k: int, seed: int, max_iter: int, metric: str, n_init:
             initSteps=5, featuresCol="features",
         )
         models.append(estimator.fit(data))
-    data.unpersist()
     best = min(models, key=lambda model: model.summary.trainingCost)
     return np.array(best.clusterCenters())
 

@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..session import materialize
+from ..session import BROADCAST_BYTES, materialize
 from .lookup import lookup
 from .pairwise import numbered
 
-# Trigrams of a profile that is broadcast whole, about 100 MB at most.
-BROADCAST_GRAMS = 1_000_000
 # Languages whose totals are broadcast.
 BROADCAST_LANGUAGES = 10_000
 _ROW = "language_row"
@@ -77,7 +75,9 @@ def language_scores(
         id_column, "t.field", F.explode("t.grams").alias("gram")
     )
     table = _wide(profiles, floors)
-    if profiles.count() <= BROADCAST_GRAMS:
+    # One row per trigram with a number per language, whatever the languages share.
+    cells = profiles.select("gram").distinct().count() * (len(floors) + 4)
+    if cells * 8 <= BROADCAST_BYTES:
         found = grams.join(F.broadcast(table), "gram", "left")
     else:
         found = lookup(grams, table, "gram", "seen", "left")

@@ -30,6 +30,9 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_written: dict[int, list[str]] = {}
+
+
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -42,9 +45,23 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _written.setdefault(id(spark.sparkContext), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_materialized(spark: SparkSession) -> int:
+    """Delete the tables that :func:`materialize` wrote for this application.
+
+    Call it when no result that reads them is needed any more. Returns how many
+    there were.
+    """
+    paths = _written.pop(id(spark.sparkContext), [])
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores when its input has fewer splits than there are.
 

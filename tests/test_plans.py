@@ -12,7 +12,8 @@ from pyspark import cloudpickle
 from catalith.operators import encode
 from catalith.plans import catalog as plans
 from catalith.plans.clusters import cluster_catalog, tune
-from catalith.session import materialize, shared_folder, spread
+from catalith import session
+from catalith.session import clear_materialized, materialize, shared_folder, spread
 
 # Workers cannot import this module, so the stub travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -128,6 +129,33 @@ def test_materialize_uses_the_shared_folder(spark):
     assert materialize(df.where("id < 0")).count() == 0
 
 
+def test_materialized_tables_can_be_cleared():
+    class Session:
+        """Stands for a session whose tables nobody reads."""
+
+        def __init__(self):
+            self.deleted = []
+            self.sparkContext = self._jvm = self._jsc = self.org = self.apache = self.hadoop = self.fs = self
+
+        def Path(self, name):
+            self.name = name
+            return self
+
+        def hadoopConfiguration(self):
+            return None
+
+        def getFileSystem(self, _):
+            return self
+
+        def delete(self, path, deep):
+            self.deleted.append((path.name, deep))
+
+    own = Session()
+    session._written[id(own)] = ["/a", "/b"]
+    assert clear_materialized(own) == 2 and clear_materialized(own) == 0
+    assert own.deleted == [("/a", True), ("/b", True)]
+
+
 class Unset:
     """A session without the setting, on the given master."""
 

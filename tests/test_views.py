@@ -92,7 +92,7 @@ def test_large_profiles_take_the_other_join(spark, monkeypatch):
     )
     model = profiles(spark)
     want = rows(language.detect_languages(df, model, {"t": "lang"}))
-    monkeypatch.setattr(language, "BROADCAST_GRAMS", 0)
+    monkeypatch.setattr(language, "BROADCAST_BYTES", 0)
     monkeypatch.setattr("catalith.operators.lookup.HOT_ROWS", 5)
     assert rows(language.detect_languages(df, model, {"t": "lang"})) == want
 
