@@ -42,3 +42,10 @@ def test_query_agrees_with_sql(spark, database, name):
 
 def test_only_the_search_lacks_sql():
     assert set(workload.QUERIES) - set(workload.ORACLES) == {"tuning_grid"}
+
+
+def test_the_flagship_scan_prunes_by_the_scope(spark):
+    df = workload.QUERIES["scope_views"](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,F)" in plan
+    assert "RoundRobinPartitioning" not in plan
