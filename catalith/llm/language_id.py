@@ -221,13 +221,13 @@ class Models:
         """Mean and spread of the cross-entropy of texts in their own language."""
         entropy, sizes = self.entropies(texts)
         for k, name in enumerate(self.languages):
-            own = np.array([lang == name for lang in languages]) & (sizes > 0)
+            own = np.array([lang == name for lang in languages], dtype=bool) & (sizes > 0)
             if not own.any():
                 continue
             values, n = entropy[own, k], sizes[own]
             self.mean[k] = np.average(values, weights=n)
             self.spread[k] = max(np.sqrt(np.median((values - self.mean[k]) ** 2 * n)), 1.0)
-            other = (np.array(languages) != name) & (sizes > 0)
+            other = np.array([lang != name for lang in languages], dtype=bool) & (sizes > 0)
             # A single language has no other to compare with: twice as bad stands for it.
             foreign = np.average(entropy[other, k], weights=sizes[other]) if other.any() else 2 * self.mean[k]
             self.limit[k] = self.mean[k] + FOREIGN * (foreign - self.mean[k])

@@ -427,3 +427,13 @@ def test_license_pruning_loses_nothing():
         got = [(name, dice) for name, dice, _, _ in scanner.scan(line)]
         assert [g[0] for g in got] == [b[0] for b in best]
         assert [g[1] for g in got] == pytest.approx([b[1] for b in best])
+
+
+@pytest.mark.parametrize("place", range(5))
+def test_stages_take_odd_and_no_rows(spark, odd, none, place):
+    import corpus_pipeline
+
+    _, stage = corpus_pipeline.STAGES[place]
+    found = stage(spark, odd, "")
+    assert found.count() > 0 and (place == 4 or found.columns == odd.columns)
+    assert stage(spark, none, "").count() == 0
