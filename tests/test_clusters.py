@@ -211,3 +211,19 @@ def test_grid_and_best_trial(spark):
     assert rows(plans.best_trial(trials)) == [(4, 2.0, 1.0, 0.5, 0.9)]
     score = spark.range(1).select(plans.tuning_score(F.lit(0.8), F.lit(0.5), F.lit(0.25)))
     assert score.head()[0] == pytest.approx(0.5 * 0.8 + 0.3 * 0.75 + 0.2 * 0.25)
+
+
+def test_quality_carries_the_settings_of_the_fit(spark):
+    rows_ = [(i, i % 2, [float(i % 2), float(i)]) for i in range(6)]
+    assigned = spark.createDataFrame(rows_, "item_id long, cluster_id int, embedding array<double>")
+    found = quality.cluster_quality(assigned, k=2, algorithm="kmeans", seed=7).first().asDict()
+    assert (found["n"], found["k"], found["algorithm"], found["seed"]) == (6, 2, "kmeans", 7)
+
+
+def test_squared_silhouette_of_single_items(spark):
+    rows_ = [(0, 0, [0.0, 0.0]), (1, 0, [0.0, 2.0]), (2, 1, [4.0, 0.0])]
+    assigned = spark.createDataFrame(rows_, "item_id long, cluster_id int, embedding array<double>")
+    found = quality.silhouette_squared(assigned).first()
+    assert (found["n"], found["clusters"]) == (3, 2)
+    assert found["silhouette"] == pytest.approx(((16 - 4) / 16 + (20 - 4) / 20 + 0) / 3)
+    assert quality.silhouette_squared(assigned.where("cluster_id = 0")).first()["silhouette"] == -1.0

@@ -94,6 +94,20 @@ def silhouette_blocked(spark, folder):
     return found.withColumn("silhouette", F.round("silhouette", 6))
 
 
+def _squared(spark, folder, **limits):
+    found = quality.silhouette_squared(_by_label(spark, folder), **limits)
+    return found.withColumn("silhouette", F.round("silhouette", 6))
+
+
+def silhouette_squared(spark, folder):
+    return _squared(spark, folder)
+
+
+def silhouette_squared_blocked(spark, folder):
+    """The same with sums of clusters that count as too large to broadcast."""
+    return _squared(spark, folder, plan="blocks", block_rows=4)
+
+
 def silhouette_repeated_ids(spark, folder):
     """Ids that repeat change nothing: every row is an item."""
     rows = _by_label(spark, folder).withColumn("item_id", F.floor(F.col("item_id") / 50))
@@ -269,6 +283,8 @@ QUERIES = {
         silhouette_exact,
         silhouette_blocked,
         silhouette_repeated_ids,
+        silhouette_squared,
+        silhouette_squared_blocked,
         davies_bouldin,
         cluster_quality,
         kmeans_fit,
@@ -387,6 +403,19 @@ SELECT CASE WHEN id % 7 <> 0 THEN id // 3 END AS item_id,
        CASE WHEN s >= 0.35 THEN cluster_id ELSE -1 END AS assigned_cluster, s AS score, 1 AS rank
 FROM a""",
     "silhouette_repeated_ids": "silhouette_exact",
+    "silhouette_squared_blocked": "silhouette_squared",
+    "silhouette_squared": f"""
+WITH {_LABELLED},
+sizes AS (SELECT c, count(*) AS n FROM labelled GROUP BY c),
+sums AS (
+  SELECT p.id, p.c, o.c AS other, sum(list_distance(p.e, o.e) * list_distance(p.e, o.e)) AS d
+  FROM labelled p JOIN labelled o ON p.id <> o.id GROUP BY ALL),
+parts AS (
+  SELECT id, max(CASE WHEN s.c = other THEN d / (n - 1) END) AS a, min(CASE WHEN s.c <> other THEN d / n END) AS b
+  FROM sums s JOIN sizes ON sizes.c = other GROUP BY id)
+SELECT (SELECT count(*) FROM labelled) AS n, (SELECT count(*) FROM sizes) AS clusters,
+       round(avg((b - a) / greatest(a, b)), 6) AS silhouette
+FROM parts""",
     "assign_catalog": f"""
 WITH {_ASSIGNED_SQL}
 SELECT id AS item_id, g AS group_id, cluster_id, s AS sim_to_centroid FROM a""",
