@@ -20,8 +20,8 @@ from .pairwise import is_small, tiles, to_matrix
 
 # Largest move of a centroid that counts as none.
 TOLERANCE = 1e-4
-# Rounds in which the start of a fit by tables draws far rows.
-STARTS = 5
+# Rounds in which the start of a fit by tables draws far rows, one at a time while k is small.
+STARTS = 16
 # Most batches of one pass of the mini-batch fit.
 PASS_BATCHES = 256
 # Share of its length that a centroid may move in the last pass.

@@ -157,7 +157,7 @@ def kmeans_euclidean(spark, folder):
 def kmeans_blocked(spark, folder):
     """The fit with centroids that count as too large to broadcast."""
     vectors_ = _separated(spark, folder)
-    centers = cluster.kmeans(vectors_, 10, max_iter=20, metric="euclidean", n_init=2, broadcast_bytes=1)
+    centers = cluster.kmeans(vectors_, 10, max_iter=5, metric="euclidean", broadcast_bytes=1)
     hits = attach_nearest(vectors_, centers, metric="l2").withColumnRenamed("score", "sim_to_centroid")
     return _recovered(hits.drop("rank"))
 
