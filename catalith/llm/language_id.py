@@ -11,7 +11,7 @@ A text goes to the language of the lowest cross-entropy per character. The
 rejection is calibrated on training texts: for each language the mean and the
 spread per character of the cross-entropy of its own texts, and the mean of that
 of other languages' texts. A text is rejected if it has no letter, or if its best
-language fits it about as badly as it fits other languages: above ``FOREIGN`` of
+language fits it as badly as it fits other languages: above ``FOREIGN`` of
 the way from the one mean to the other, and by chance in no text so short.
 
 The models are fitted on about ``DOCS`` texts per language, drawn by hash; that
@@ -38,9 +38,9 @@ ORDER = 4
 #: Texts per language that the models are fitted on, on average.
 DOCS = 2000
 CHUNK = 1 << 19
-FOREIGN = 0.8
+FOREIGN = 1.0
 #: Spreads by which chance may raise the cross-entropy of a short text.
-CHANCE = 5.0
+CHANCE = 8.0
 #: Characters after which more text does not raise the score.
 EVIDENCE = 40
 UNKNOWN = "und"
