@@ -44,6 +44,7 @@ TOKENS = 64
 TREES = 8
 DEPTH = 3
 NODE = 512
+#: Texts of a block when a large group is compared on full sets; a task takes two blocks.
 BLOCK = 192
 BLOCK_SHINGLES = 1 << 21
 #: A pair at 0.8 shares 51 of 64 tokens on average; fewer than 38 has a probability of 5e-5.
