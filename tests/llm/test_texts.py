@@ -429,6 +429,60 @@ def test_license_pruning_loses_nothing():
         assert [g[1] for g in got] == pytest.approx([b[1] for b in best])
 
 
+def test_licenses_within_lines(spark):
+    filler = " ".join(f"word{i}" for i in range(3000))
+    header, gpl = licenses.TEMPLATES["Apache-2.0-header"], licenses.TEMPLATES["GPL-3.0-header"]
+    plain = " ".join(licenses.words(header))
+    texts = [
+        "All documentation in this file is released under the MIT License",
+        "Home | About, Released under the MIT License - Licensed under CC BY-NC 4.0 Contact",
+        f"{filler} {plain} {filler}",
+        f"first line\n{filler} {header.replace('permissions', 'rights')} {filler}",
+        f"{filler} {gpl} Released under the MIT License, {filler}",
+        "Released under the MIT License " * 3,
+        "released to the public under a license of the city",
+        "İ İ\nreleased\nunder the MIT License of today",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = defaultdict(list)
+    for r in licenses.scan_licenses(df).collect():
+        found[r.doc_id].append((r.license, r.dice == 1.0, r.first_line, r.last_line))
+    assert found[0] == [("MIT", True, 0, 0)]
+    assert found[1] == [("MIT", True, 0, 0), ("CC-BY-NC-4.0", True, 0, 0)]
+    assert found[2] == [("Apache-2.0-header", True, 0, 0)]
+    assert found[3] == [("Apache-2.0-header", False, 1, 1)]
+    assert found[4] == [("GPL-3.0-header", True, 0, 0), ("MIT", True, 0, 0)]
+    assert found[5] == [("MIT", True, 0, 0)] * 3
+    assert 6 not in found and found[7] == [("MIT", True, 1, 2)]
+
+
+def test_runs_of_words_agree_with_all_runs():
+    rng = random.Random(9)
+    templates = {f"t{i}": " ".join(rng.choice("abcdefgh") for _ in range(rng.choice((1, 2, 5, 12, 20)))) for i in range(9)}
+    scanner = licenses.Templates(templates, licenses.LEAST)
+    for _ in range(60):
+        text = " ".join(rng.choice("abxyz") for _ in range(rng.randrange(12)))
+        for _ in range(rng.randrange(1, 4)):
+            part = templates[rng.choice(list(templates))].split()
+            part[rng.randrange(len(part))] = rng.choice("abx")
+            text += " " + " ".join(part)
+        found, runs = text.split(), []
+        for i in range(len(found)):
+            for j in range(i + 1, len(found) + 1):
+                grams = licenses.bigrams(found[i:j])
+                for t, (_, own, n) in enumerate(scanner.known):
+                    common = (grams & own).total()
+                    dice = 2 * common / (grams.total() + n)
+                    if dice >= licenses.LEAST:
+                        runs.append((licenses.LEAST * (grams.total() + n) - 2 * common, j - i, i, t, j - 1, dice))
+        chosen = []
+        for run in sorted(runs):
+            if all(run[4] < c[2] or run[2] > c[4] for c in chosen):
+                chosen.append(run)
+        wanted = [(scanner.known[t][0], dice) for _, _, _, t, _, dice in sorted(chosen, key=lambda c: c[2])]
+        assert [f[:2] for f in scanner.find(text)] == wanted
+
+
 @pytest.mark.parametrize("place", range(5))
 def test_stages_take_odd_and_no_rows(spark, odd, none, place):
     import corpus_pipeline
