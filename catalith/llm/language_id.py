@@ -8,14 +8,19 @@ sequence. What a language has not seen follows from its weights for shorter
 contexts, which the tables of the lower orders hold in the same form.
 
 A text goes to the language of the lowest cross-entropy per character. The
-rejection is calibrated on training texts: for each language the mean and the
-spread per character of the cross-entropy of its own texts, and the mean of that
-of other languages' texts. A text is rejected if it has no letter, or if its best
-language fits it as badly as it fits other languages: above ``FOREIGN`` of
-the way from the one mean to the other, and by chance in no text so short.
-
-The models are fitted on about ``DOCS`` texts per language, drawn by hash; that
-bounds what reaches the driver. Everything else covers all rows and whole texts.
+rejection is calibrated on texts that are left out of the fit. The excess of a text
+is its cross-entropy less the mean of its language's texts, over ``sqrt(1 + CHANCE /
+characters)``, as chance moves short texts further. The excess of a foreign text is
+what it has under its best language when the model of its own is left out, each
+language in turn. A text is rejected if it has no letter, or if its excess is above
+a limit: half way between the ``1 - REFUSED`` quantile of own texts (the largest of
+the languages) and the ``FOREIGN`` quantile of foreign ones (the least of the
+languages left out), and never below the former. So of the texts of any language a
+share of at most ``REFUSED`` (0.5 percent) of those left out is rejected, and of new
+ones about 1 / (n + 1) at most where n, the number left out, is below 200. If
+the two quantiles are apart, at most ``FOREIGN`` (5 percent) of the texts of a
+language left out stay. With a single language nothing can be left out; a text that
+fits twice as badly as the mean stands for the foreign ones.
 
 Defined cases: a null text, and one without letters, has the language ``und``, a
 score of 0 and is rejected. Rows with a null language are not learned from.
@@ -38,9 +43,12 @@ ORDER = 4
 #: Texts per language that the models are fitted on, on average.
 DOCS = 2000
 CHUNK = 1 << 19
-FOREIGN = 1.0
-#: Spreads by which chance may raise the cross-entropy of a short text.
-CHANCE = 8.0
+#: Share of the texts left out, and the least number of texts (of up to half) that are.
+LEFT_OUT, LEAST_LEFT_OUT = 0.1, 40
+#: Share of own texts that the limit may reject, and of foreign texts that it may keep.
+REFUSED, FOREIGN = 0.005, 0.05
+#: Characters at which chance moves the cross-entropy as far as texts differ.
+CHANCE = 30
 #: Characters after which more text does not raise the score.
 EVIDENCE = 40
 UNKNOWN = "und"
@@ -149,8 +157,7 @@ class Models:
             self.contexts.append(self._sorted(heads, lambda m, c: m.weight(c), models))
         self.unseen = np.log([1 / m.alphabet for m in models])
         self.mean = np.zeros(len(models))
-        self.spread = np.ones(len(models))
-        self.limit = np.full(len(models), np.inf)
+        self.limit = np.inf
 
     @staticmethod
     def _sorted(grams: list[str], value, models: list[KneserNey]) -> tuple[np.ndarray, np.ndarray]:
@@ -217,20 +224,31 @@ class Models:
         flush()
         return -sums / np.maximum(sizes, 1)[:, None], sizes
 
-    def calibrate(self, texts: list[str], languages: list[str]) -> None:
-        """Mean and spread of the cross-entropy of texts in their own language."""
-        entropy, sizes = self.entropies(texts)
+    def calibrate(self, entropy: np.ndarray, sizes: np.ndarray, languages: list[str]) -> None:
+        """Means and the limit of the excess, from the ``entropies`` of texts left out of the fit."""
+        known = sizes > 0
+        entropy, sizes, names = entropy[known], sizes[known], np.array(languages, dtype=object)[known]
+        self.mean = np.full(len(self.languages), np.inf)
+        for k, name in enumerate(self.languages):
+            if (names == name).any():
+                self.mean[k] = np.average(entropy[names == name, k], weights=sizes[names == name])
+        own, foreign = [], []
         for k, name in enumerate(self.languages):
-            own = np.array([lang == name for lang in languages], dtype=bool) & (sizes > 0)
-            if not own.any():
+            rows = names == name
+            if not rows.any():
                 continue
-            values, n = entropy[own, k], sizes[own]
-            self.mean[k] = np.average(values, weights=n)
-            self.spread[k] = max(np.sqrt(np.median((values - self.mean[k]) ** 2 * n)), 1.0)
-            other = np.array([lang != name for lang in languages], dtype=bool) & (sizes > 0)
-            # A single language has no other to compare with: twice as bad stands for it.
-            foreign = np.average(entropy[other, k], weights=sizes[other]) if other.any() else 2 * self.mean[k]
-            self.limit[k] = self.mean[k] + FOREIGN * (foreign - self.mean[k])
+            stretch = np.sqrt(1 + CHANCE / sizes[rows])
+            excess = (entropy[rows, k] - self.mean[k]) / stretch
+            own.append(np.quantile(excess, 1 - REFUSED, method="higher"))
+            others = np.delete(entropy[rows], k, axis=1)
+            if others.shape[1]:
+                best = others.argmin(axis=1)
+                excess = (others.min(axis=1) - np.delete(self.mean, k)[best]) / stretch
+                foreign.append(np.quantile(excess, FOREIGN, method="lower"))
+            else:
+                foreign.append(self.mean[k])
+        if own:
+            self.limit = max(max(own), (max(own) + min(foreign)) / 2)
 
     def classify(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         if not self.languages:
@@ -243,7 +261,9 @@ class Models:
         lowest = entropy[rows, best]
         evidence = np.minimum(sizes, EVIDENCE)[:, None]
         score = 1 / np.exp((lowest[:, None] - entropy) * evidence).sum(axis=1)
-        far = lowest > self.limit[best] + CHANCE * self.spread[best] / np.sqrt(np.maximum(sizes, 1))
+        # Nothing is known of how texts of a language fit if none was left out.
+        excess = np.where(np.isfinite(self.mean[best]), lowest - self.mean[best], -np.inf)
+        far = excess > self.limit * np.sqrt(1 + CHANCE / np.maximum(sizes, 1))
         names = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
         return names, np.where(known, score, 0.0), np.where(known, lowest, np.nan), ~known | far
 
@@ -270,12 +290,15 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", docs: int = DOC
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("body")
     )
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    share = F.lit(0.0)
+    share, left = F.lit(0.0), F.lit(0.0)
     for name, count in sizes.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, docs / count))).otherwise(share)
+        this = F.col("lang") == name
+        part = min(0.5, max(LEFT_OUT, LEAST_LEFT_OUT / min(count, docs)))
+        share = F.when(this, F.lit(min(1.0, docs / count))).otherwise(share)
+        left = F.when(this, F.lit(min(1.0, docs / count) * part)).otherwise(left)
     place = F.shiftrightunsigned(F.xxhash64("body"), 11) / float(1 << 53)
     drawn = rows.withColumn("place", place).where(F.col("place") < share)
-    grams = drawn.select("lang", "body").mapInArrow(_count_grams, "lang string, gram string, n long")
+    grams = drawn.where(F.col("place") >= left).select("lang", "body").mapInArrow(_count_grams, "lang string, gram string, n long")
     counts: dict[str, dict[str, int]] = defaultdict(dict)
     # Bounded by the texts drawn.
     summed = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
@@ -284,9 +307,9 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", docs: int = DOC
     models = Models(counts)
     if not counts:
         return models
-    # A tenth of the texts drawn tells how far good texts lie from the mean.
-    held = drawn.where(F.col("place") < share * 0.1).select("lang", "body").toArrow()
-    models.calibrate(held.column("body").to_pylist(), held.column("lang").to_pylist())
+    held = drawn.where(F.col("place") < left).select("lang", "body").toArrow()
+    entropy, letters = models.entropies(held.column("body").to_pylist())
+    models.calibrate(entropy, letters, held.column("lang").to_pylist())
     return models
 
 

@@ -372,6 +372,24 @@ def test_language_of_odd_rows(spark, odd, none):
     assert {r.lang_pred for r in language_id.language_report(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_unlearned_languages_and_noise_are_rejected(spark):
+    rng = random.Random(4)
+    finnish = "ja on ei se että hän oli mutta niin kun tämä mitä sitten vain koko myös jälkeen työtä yhdessä kyllä".split()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = language_rows(600)
+    unlearned = [" ".join(rng.choice(finnish) for _ in range(n)) for n in (12, 40, 200) for _ in range(10)]
+    noise = ["".join(rng.choice(letters) for _ in range(n)) for n in (30, 64, 400) for _ in range(10)]
+    noise += [" ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(12)) for _ in range(10)]
+    clean = [" ".join(rng.choice(WORDS[lang]) for _ in range(n)) for lang in WORDS for n in (1, 2, 4, 12) for _ in range(10)]
+    texts = [*unlearned, *noise, *clean]
+    extra = [(1000 + i, t, None, "a", 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows + extra, SCHEMA)
+    rejected = {r.doc_id for r in language_id.language_report(df).collect() if r.rejected}
+    assert rejected == {1000 + i for i in range(len(unlearned) + len(noise))}
+    kept = {r.doc_id for r in language_id.keep_known(df).select("doc_id").collect()}
+    assert kept == {r[0] for r in rows + extra} - rejected
+
+
 def test_models_sum_to_one():
     counts = Counter()
     text = "   the cat sat on the mat and the rat sat on the cat "
