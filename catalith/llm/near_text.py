@@ -332,18 +332,10 @@ def verified_links(
     return by_group(dealt, ["root", "part"], _exact(width, percent), "a long, b long").distinct()
 
 
-def near_duplicates(
-    df: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    width: int = 5,
-    percent: int = 80,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """``(key, text_hash, n_shingles, component_id, kept)`` of every row.
+def _grouped(df: DataFrame, key: str, text: str, width: int, percent: int, broadcast_rows: int) -> DataFrame:
+    """``(row_key, text_hash, n_shingles, digest, first)`` of every row.
 
-    Sets are linked where ``100 * common >= percent * all``; ``component_id`` is
-    the least key that can be reached, and ``kept`` tells that it is the own one.
+    ``first`` is the first row of the component by key and text, null without words.
     """
     docs = df.select(F.col(key).alias("row_key"), F.col(text).cast("string").alias("body")).select(
         "*", F.xxhash64("body").alias("text_hash")
@@ -361,7 +353,8 @@ def near_duplicates(
         .agg(
             F.first("sketch").alias("sketch"),
             F.first("n_shingles").alias("n_shingles"),
-            F.min("row_key").alias("least_key"),
+            # The least key that is not null; the text decides between equal keys.
+            F.min(F.struct(F.col("row_key").isNull().alias("no_key"), "row_key", "text_hash")).alias("first"),
             F.min(F.struct("text_hash", "row_key")).alias("rep"),
         )
         .withColumn("class", F.monotonically_increasing_id())
@@ -369,16 +362,30 @@ def near_duplicates(
     candidates = candidate_links(classes, percent)
     links = verified_links(docs, classes, candidates, width, percent, broadcast_rows)
     members = materialize(
-        components(links).join(classes.select(F.col("class").alias("node"), "digest", "least_key"), "node")
-    )
-    least = materialize(members.groupBy("root").agg(F.min("least_key").alias("component_id")))
-    merged = materialize(members.join(least, "root").select("digest", "component_id"))
-    alone = classes.join(merged.select("digest"), "digest", "left_anti").select(
-        "digest", F.col("least_key").alias("component_id")
+        components(links).join(classes.select(F.col("class").alias("node"), "digest", "first"), "node")
     )
+    least = materialize(members.groupBy("root").agg(F.min("first").alias("first")))
+    merged = materialize(members.drop("first").join(least, "root").select("digest", "first"))
+    alone = classes.join(merged.select("digest"), "digest", "left_anti").select("digest", "first")
     of_class = materialize(merged.unionByName(alone))
-    found = thin.drop("sketch").join(of_class, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("row_key")).otherwise(F.col("component_id"))
+    return thin.drop("sketch").join(of_class, "digest", "left")
+
+
+def near_duplicates(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    percent: int = 80,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``(key, text_hash, n_shingles, component_id, kept)`` of every row.
+
+    Sets are linked where ``100 * common >= percent * all``; ``component_id`` is
+    the least key that can be reached, and ``kept`` tells that it is the own one.
+    """
+    found = _grouped(df, key, text, width, percent, broadcast_rows)
+    component = F.when(F.col("digest").isNull(), F.col("row_key")).otherwise(F.col("first.row_key"))
     return found.select(
         F.col("row_key").alias(key),
         "text_hash",
@@ -389,9 +396,11 @@ def near_duplicates(
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` that are the least of their component, one of each."""
-    found = near_duplicates(df, key, text, width, percent).where("kept").select(
-        F.col(key).alias("kept_key"), F.col("text_hash").alias("kept_hash")
+    """One row of each component of ``df``: the first by key, null keys last, and text."""
+    found = _grouped(df, key, text, width, percent, BROADCAST_ROWS)
+    first = F.col("row_key").eqNullSafe(F.col("first.row_key")) & (F.col("text_hash") == F.col("first.text_hash"))
+    found = found.where(F.col("digest").isNull() | first).select(
+        F.col("row_key").alias("kept_key"), F.col("text_hash").alias("kept_hash")
     )
     kept = materialize(found.groupBy("kept_key", "kept_hash").agg(F.count("*").alias("repeats")))
     names = {c: f"doc_{i}" for i, c in enumerate(df.columns)}

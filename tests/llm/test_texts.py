@@ -133,6 +133,21 @@ def test_near_copies_of_odd_rows(odd, none):
     assert near_text.near_duplicates(none).count() == 0
 
 
+def test_one_of_each_whatever_the_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+
+    def near(name, at=None):
+        return " ".join(f"{name}{w}" if i != at else f"{name}other" for i, w in enumerate(base))
+
+    rows = [(None, near("a")), (None, near("a", 0)), (None, near("a", 59)), (None, near("a"))]
+    rows += [(5, near("b")), (5, near("b", 0)), (5, near("b").upper()), (7, near("b", 59))]
+    rows += [(None, near("c")), (8, near("c", 0)), (8, near("c", 0)), (9, near("c"))]
+    rows += [(None, near("d")), (None, near("d").upper()), (6, None), (6, None), (6, ""), (None, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = Counter((r.doc_id, (r.text or "")[:1].lower()) for r in near_text.one_of_each(df, width=2).collect())
+    assert found == Counter({(None, "a"): 1, (5, "b"): 1, (8, "c"): 1, (None, "d"): 1, (6, ""): 2, (None, " "): 1})
+
+
 def test_shingles_of_a_text_in_blocks(monkeypatch):
     text = " ".join(f"Word{i % 91} é{i % 7}" for i in range(3000)).encode()
     import numpy as np
