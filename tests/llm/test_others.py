@@ -268,3 +268,20 @@ def test_pipeline_stages(spark, tmp_path):
     encoder = pieces.Encoder(pieces.load_vocabulary())
     assert all(encoder.decode(r.ids) == texts[r.doc_id] for r in coded.collect())
     assert Counter(r.doc_id for r in coded.collect()) == times
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_run_writes_between_stages(spark, monkeypatch):
+    seen = []
+
+    def stage(spark, docs, folder):
+        seen.append([os.path.basename(os.path.dirname(f)) for f in docs.inputFiles()])
+        return docs.where("doc_id % 2 = 0").withColumn("drawn", F.rand())
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, stage) for name in "abc"])
+    found = corpus_pipeline.run(spark, FOLDER)
+    assert seen[0] == [os.path.basename(FOLDER)]
+    for files in seen[1:]:
+        assert files and all(f.startswith("catalith-") for f in files)
+    wanted = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id % 2 = 0").count()
+    assert found.count() == wanted and set(seen[1]).isdisjoint(seen[2])
