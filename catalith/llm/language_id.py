@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalith.session import materialize
+
 ORDER = 4
 #: Texts per language that the models are fitted on, on average.
 DOCS = 2000
@@ -289,16 +291,18 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", docs: int = DOC
     rows = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("body")
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("hash", F.xxhash64("body"))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang", "hash").count().groupBy("lang").agg(F.count("*").alias("count")).collect()}
     share, left = F.lit(0.0), F.lit(0.0)
     for name, count in sizes.items():
         this = F.col("lang") == name
         part = min(0.5, max(LEFT_OUT, LEAST_LEFT_OUT / min(count, docs)))
         share = F.when(this, F.lit(min(1.0, docs / count))).otherwise(share)
         left = F.when(this, F.lit(min(1.0, docs / count) * part)).otherwise(left)
-    place = F.shiftrightunsigned(F.xxhash64("body"), 11) / float(1 << 53)
-    drawn = rows.withColumn("place", place).where(F.col("place") < share)
-    grams = drawn.where(F.col("place") >= left).select("lang", "body").mapInArrow(_count_grams, "lang string, gram string, n long")
+    place = F.shiftrightunsigned("hash", 11) / float(1 << 53)
+    drawn = rows.withColumn("place", place).where(F.col("place") < share).dropDuplicates(["lang", "hash"])
+    drawn = materialize(drawn.select("lang", "body", (F.col("place") < left).alias("out")))
+    grams = drawn.where("not out").select("lang", "body").mapInArrow(_count_grams, "lang string, gram string, n long")
     counts: dict[str, dict[str, int]] = defaultdict(dict)
     # Bounded by the texts drawn.
     summed = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
@@ -307,9 +311,19 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", docs: int = DOC
     models = Models(counts)
     if not counts:
         return models
-    held = drawn.where(F.col("place") < left).select("lang", "body").toArrow()
-    entropy, letters = models.entropies(held.column("body").to_pylist())
-    models.calibrate(entropy, letters, held.column("lang").to_pylist())
+    shared = df.sparkSession.sparkContext.broadcast(models)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                entropy, letters = shared.value.entropies(batch.column("body").to_pylist())
+                values = pa.array(entropy.tolist(), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(letters), values], ["lang", "letters", "entropy"])
+
+    held = drawn.where("out").select("lang", "body").mapInArrow(measure, "lang string, letters long, entropy array<double>").toArrow()
+    entropy = np.array(held.column("entropy").to_pylist(), dtype=np.float64).reshape(-1, len(models.languages))
+    models.calibrate(entropy, held.column("letters").to_numpy(), held.column("lang").to_pylist())
     return models
 
 

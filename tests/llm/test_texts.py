@@ -387,6 +387,16 @@ def test_language_of_odd_rows(spark, odd, none):
     assert {r.lang_pred for r in language_id.language_report(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_copies_do_not_change_what_is_learned(spark):
+    rows = [r[:3] for r in language_rows()]
+    own = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    copies = spark.createDataFrame([(0, rows[i][1], rows[i][2]) for i in range(3) for _ in range(400)], own.schema)
+    one, more = (language_id.train(df, docs=60) for df in (own, own.unionByName(copies)))
+    assert one.languages == more.languages == sorted(WORDS)
+    assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(one.grams, more.grams, strict=True))
+    assert one.mean.tolist() == pytest.approx(more.mean.tolist()) and one.limit == pytest.approx(more.limit)
+
+
 def test_unlearned_languages_and_noise_are_rejected(spark):
     rng = random.Random(4)
     finnish = "ja on ei se että hän oli mutta niin kun tämä mitä sitten vain koko myös jälkeen työtä yhdessä kyllä".split()
