@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import language_id, licenses, merkle, mixing, near_text, near_vectors, pieces, secrets, sharding, warc
+from catalith.llm import (
+    language_id,
+    licenses,
+    manifest,
+    merkle,
+    mixing,
+    near_text,
+    near_vectors,
+    pieces,
+    secrets,
+    sharding,
+    url_filter,
+    warc,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,6 +73,18 @@ def op10_find_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(_table(spark, folder, "documents"))
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.tamper_report(_table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, folder, "embeddings"))
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.url_report(_table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_mix_sources": op2_mix_sources,
@@ -70,6 +96,9 @@ QUERIES = {
     "op8_shard_documents": op8_shard_documents,
     "op9_license_scan": op9_license_scan,
     "op10_find_secrets": op10_find_secrets,
+    "op11_manifest": op11_manifest,
+    "op12_whitening": op12_whitening,
+    "op13_url_filter": op13_url_filter,
 }
 
 def _root_sql(text: str) -> str:
@@ -224,7 +253,126 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM texts LEFT JOIN shown USING (doc_id)
 """
 
+
+def _crc_even_sql(number: str) -> str:
+    """Whether 2 divides the CRC-32 of a decimal number: the complement of the last bit of the register."""
+    bit = "lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)"
+    dummy = "[0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]"
+    letters = f"list_transform(string_split({number}::VARCHAR, ''), lambda a: ascii(a)::UBIGINT)"
+    return f"list_reduce({letters}, lambda r, a: list_reduce({dummy}, {bit}, xor(r, a)), 4294967295::UBIGINT) & 1 = 1"
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values) + ")"
+
+
+def _climb_sql(name: str, leaves: str) -> str:
+    """All nodes of the trees over ``leaves(tree, place, digest, n)``; ``n`` is the number of nodes of the level."""
+    return f"""
+{name}(tree, level, idx, digest, n) AS (
+  SELECT tree, 0, place, digest, n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 3, n)"""
+
+
+def _siblings_sql(name: str, stage: int, tree: str, place: str) -> str:
+    return f"""
+  SELECT rid, {stage} AS stage, level,
+         coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < {place} // (3 ** level)::BIGINT), '') AS before,
+         coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > {place} // (3 ** level)::BIGINT), '') AS behind
+  FROM members JOIN {name} ON {name}.tree = {tree} AND {name}.n > 1
+       AND idx // 3 = {place} // (3 ** (level + 1))::BIGINT GROUP BY rid, level"""
+
+
+MANIFEST_SQL = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
+         {_leaf_sql("CASE WHEN doc_id IS NOT NULL AND " + _crc_even_sql("doc_id") + " THEN replace(text, chr(10), '') ELSE text END")} AS claimed
+  FROM documents),
+leaves AS (
+  SELECT *, leaf AS digest, row_number() OVER () AS rid, count(*) OVER (PARTITION BY tree) AS n,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM rows),
+{_climb_sql("lower_nodes", "leaves")},
+subroots AS (
+  SELECT '' AS tree, tree AS name, digest, count(*) OVER () AS n, row_number() OVER (ORDER BY tree) - 1 AS place
+  FROM lower_nodes WHERE n = 1),
+{_climb_sql("upper_nodes", "subroots")},
+members AS (
+  SELECT l.rid, l.doc_id, l.leaf, l.claimed, l.tree, l.place, s.place AS upper_place, s.digest AS subroot,
+         (SELECT digest FROM upper_nodes WHERE n = 1) AS root
+  FROM leaves l JOIN subroots s ON s.name = l.tree),
+sides AS ({_siblings_sql("lower_nodes", 0, "members.tree", "members.place")}
+  UNION ALL {_siblings_sql("upper_nodes", 1, "''", "members.upper_place")}),
+steps AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY stage, level) AS k FROM sides),
+proofs AS (SELECT rid, sha256(string_agg(before || behind, '' ORDER BY k)) AS proof FROM steps GROUP BY rid),
+folds(rid, k, own) AS (
+  SELECT rid, 0::BIGINT, claimed FROM members
+  UNION ALL SELECT f.rid, s.k, sha256(s.before || f.own || s.behind) FROM folds f JOIN steps s ON s.rid = f.rid AND s.k = f.k + 1),
+ends AS (SELECT rid, arg_max(own, k) AS folded_root FROM folds GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM members JOIN ends USING (rid) LEFT JOIN proofs USING (rid)
+"""
+
+
+def _parsed_sql(source: str, columns: str) -> str:
+    """Host and path of each url."""
+    return f"""
+  SELECT {columns}, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT *, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {source})"""
+
+
+def _buckets_sql(source: str, columns: str) -> str:
+    """One row per distinct bucket, with its weight ``1 / sqrt(m)``."""
+
+    def grams(mark: str, text: str) -> str:
+        runs = f"list_transform(range(1, length({text}) - {url_filter.GRAM - 2}), lambda i: md5('{mark}' || substr({text}, i, {url_filter.GRAM})))"
+        return f"list_transform({runs}, lambda d: ('0x' || left(d, 3))::INT)"
+
+    whole_host, whole_path = "('^' || host || '$')", "(path || '$')"
+    listed = f"list_distinct(list_concat({grams('h', whole_host)}, {grams('p', whole_path)}))"
+    return f"SELECT {columns}, unnest(f) AS id, 1 / sqrt(len(f)) AS x FROM (SELECT *, {listed} AS f FROM {source})"
+
+
+_LABELLED_SQL = ", ".join(
+    f"('{u}', {y})" for y, urls in ((0, url_filter.ALLOWED_URLS), (1, url_filter.BLOCKED_URLS)) for u in urls
+)
+_RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
+URL_SQL = f"""
+WITH RECURSIVE labelled(url, label) AS (VALUES {_LABELLED_SQL}),
+known AS ({_parsed_sql("labelled", "url AS i, label")}),
+features AS (
+  {_buckets_sql("known", "i, label")} UNION ALL SELECT i, label, {url_filter.BUCKETS}, 1.0::DOUBLE FROM known),
+steps(t, id, v) AS (
+  SELECT 0, range::INT, 0.0::DOUBLE FROM range({url_filter.BUCKETS + 1})
+  UNION ALL
+  SELECT s.t + 1, s.id, s.v * (CASE WHEN s.id = {url_filter.BUCKETS} THEN 1 ELSE {1 - url_filter.RATE * url_filter.PENALTY}::DOUBLE END)
+           + {url_filter.RATE}::DOUBLE * coalesce(g.g, 0) / (SELECT count(*) FROM labelled)
+  FROM steps s LEFT JOIN (
+    SELECT f.id, sum(e.err * f.x) AS g FROM features f JOIN (
+      SELECT f.i, any_value(f.label) - 1 / (1 + exp(-sum(f.x * w.v))) AS err
+      FROM features f JOIN steps w ON w.id = f.id GROUP BY f.i) e ON e.i = f.i GROUP BY f.id) g ON g.id = s.id
+  WHERE s.t < {url_filter.STEPS}),
+model AS (SELECT id, v FROM steps WHERE t = {url_filter.STEPS}),
+numbered AS (SELECT *, row_number() OVER () AS rid FROM pages),
+parsed AS ({_parsed_sql("numbered", "rid, page_id")}),
+odds AS (
+  SELECT rid, sum(x * v) AS odds FROM (
+    {_buckets_sql("parsed", "rid")} UNION ALL SELECT rid, {url_filter.BUCKETS}, 1.0::DOUBLE FROM parsed) JOIN model USING (id) GROUP BY rid),
+fits AS (
+  SELECT rid, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM parsed, (VALUES {_RULES_SQL}) AS rules(verdict, h, p)
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN odds > 0 THEN 'block' ELSE 'allow' END) AS verdict,
+       round(1 / (1 + exp(-odds)), 6) AS score
+FROM parsed JOIN odds USING (rid) LEFT JOIN fits USING (rid)
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_manifest": MANIFEST_SQL,
+    "op13_url_filter": URL_SQL,
     "op4_near_texts": TEXTS_SQL,
     "op10_find_secrets": SECRETS_SQL,
     "op3_near_vectors": VECTORS_SQL,
