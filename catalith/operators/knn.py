@@ -1,27 +1,42 @@
-"""Nearest neighbours: exact, and through coarse cells."""
+"""Nearest neighbours: exact, by bounds on stored cells, and through probed cells."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_BYTES, materialize
-from .pairwise import BLOCK_ROWS, LEFT_ROW, RIGHT_ROW, is_small, numbered, pairwise, same_length, tiles, to_matrix
+from ..functions import vectors as vector_functions
+from ..session import BROADCAST_BYTES, write_shared
+from .pairwise import (
+    BLOCK_ROWS,
+    LEFT_ROW,
+    arrow_schema,
+    compare_all,
+    gathered,
+    is_small,
+    pairwise,
+    same_length,
+    stored_blocks,
+    tiles,
+    to_matrix,
+    with_rows,
+)
 
 # Scores are compared after rounding to this many digits, so that equal
 # vectors tie whatever the order of the sums, and ties go to the smaller id.
 SCORE_DIGITS = 9
 
+_PROBE_ROW = "probe_row"
 INNER_PRODUCT = ("cosine", "ip", "inner_product")
 METRICS = (*INNER_PRODUCT, "l2", "euclidean")
-# The number of a row while it is compared with centers; it may have another one.
-_ATTACHED = "attached_row"
 # Doubtful pairs whose distance is computed anew at a time.
 _PAIRS = 200_000
 
@@ -34,6 +49,14 @@ def parse_metric(metric: str) -> str:
     return name
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; a zero row stays, so its cosine with any row is 0."""
+    if not x.size:
+        return x
+    norms = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(norms > 0, norms, 1.0)
+
+
 def _similarity(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     if metric in INNER_PRODUCT:
         return np.round(q @ c.T, SCORE_DIGITS)
@@ -79,34 +102,43 @@ def top_columns(q, c, k, metric, blocked=()):
 
 @dataclass(frozen=True)
 class TopK:
-    """Kernel that keeps the best ``k`` right rows of each left row."""
+    """Kernel that keeps the best ``k`` right rows of each left row.
+
+    ``carried`` columns of the left row come with each of its hits. The metric
+    ``cosine`` divides by the lengths of the vectors.
+    """
 
     k: int
     metric: str
     exclude_self: bool
+    carried: tuple[str, ...] = ("query_id",)
+    vector: str = "query_vector"
+
+    def _rows(self, vectors) -> np.ndarray:
+        found = to_matrix(vectors)
+        return unit_rows(found) if self.metric == "cosine" else found
 
     def prepare(self, right: pa.Table):
         right = right.sort_by([("candidate_id", "ascending"), ("candidate_group", "ascending")])
-        vectors = to_matrix(right["candidate_vector"])
-        return right["candidate_id"].combine_chunks(), right["candidate_group"].combine_chunks(), vectors
+        return right["candidate_id"].combine_chunks(), right["candidate_group"].combine_chunks(), self._rows(right["candidate_vector"])
 
     def compare(self, left: pa.Table, prepared) -> pa.Table:
         ids, groups, c = prepared
-        query_ids, q = left["query_id"].combine_chunks(), to_matrix(left["query_vector"])
+        q = self._rows(left[self.vector])
         found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
         same_length(q, c)
-        if len(ids) and len(query_ids):
-            blocked = self._own_columns(query_ids, ids)
+        if len(ids) and len(q):
+            blocked = self._own_columns(left["query_id"].combine_chunks(), ids) if self.exclude_self else ()
             for start, stop in tiles(len(q), len(c)):
                 rows, cols, scores = top_columns(
                     q[start:stop], c, self.k, self.metric, blocked[start:stop]
                 )
                 found.append((rows + start, cols, scores))
         rows, cols, scores = (np.concatenate(parts) for parts in zip(*found))
+        kept = left.select([LEFT_ROW, *self.carried]).take(pa.array(rows))
         return pa.table(
             {
-                LEFT_ROW: left[LEFT_ROW].combine_chunks().take(pa.array(rows)),
-                "query_id": query_ids.take(pa.array(rows)),
+                **dict(zip(kept.column_names, kept.columns, strict=True)),
                 "candidate_id": ids.take(pa.array(cols)),
                 "candidate_group": groups.take(pa.array(cols)),
                 "score": pa.array(scores),
@@ -115,8 +147,6 @@ class TopK:
         )
 
     def _own_columns(self, query_ids: pa.Array, ids: pa.Array):
-        if not self.exclude_self:
-            return ()
         # Nulls are last, and a query without an id excludes nothing.
         ordered = ids.slice(0, len(ids) - ids.null_count).to_numpy(zero_copy_only=False)
         known = query_ids.is_valid().to_numpy(zero_copy_only=False)
@@ -159,11 +189,10 @@ def _type(df: DataFrame, column: str) -> T.DataType:
     return df.schema[column].dataType
 
 
-def _neighbor_schema(queries: DataFrame, candidates: DataFrame) -> T.StructType:
+def _hit_schema(left: DataFrame, carried, candidates: DataFrame) -> T.StructType:
     return T.StructType(
         [
-            T.StructField(LEFT_ROW, T.LongType()),
-            T.StructField("query_id", _type(queries, "query_id")),
+            *(left.schema[c] for c in carried),
             T.StructField("candidate_id", _type(candidates, "candidate_id")),
             T.StructField("candidate_group", _type(candidates, "candidate_group")),
             T.StructField("score", T.DoubleType()),
@@ -173,13 +202,16 @@ def _neighbor_schema(queries: DataFrame, candidates: DataFrame) -> T.StructType:
 
 
 def _candidates(catalog, id_column, group_column, vector_column, *others):
-    c = catalog.select(
+    return catalog.select(
         F.col(id_column).alias("candidate_id"),
         F.col(group_column).alias("candidate_group"),
         F.col(vector_column).alias("candidate_vector"),
         *others,
     )
-    return numbered(c, RIGHT_ROW)
+
+
+def _queries(queries, id_column, vector_column, carry):
+    return queries.select(F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector"), *carry)
 
 
 def nearest(
@@ -192,25 +224,26 @@ def nearest(
     group_column: str = "group_id",
     vector_column: str = "embedding",
     plan: str = "auto",
+    carry: tuple[str, ...] = (),
     **limits,
 ) -> DataFrame:
     """The ``k`` nearest catalogue rows of each query row, exactly.
 
-    Returns ``(query_id, candidate_id, candidate_group, score, rank)``. A
-    larger score is closer for every metric: the inner product for ``cosine``
-    (unit vectors) and ``ip``, the negative distance for ``l2``. Queries with
-    fewer than ``k`` candidates get what there is. With ``exclude_self`` a
-    candidate with the id of the query does not count. Each query row is answered
-    for itself, also if its id is null or repeated. See
-    :mod:`.pairwise` for ``plan`` and ``limits``.
+    Returns ``(query_id, *carry, candidate_id, candidate_group, score, rank)``;
+    ``carry`` names further columns of the queries. A larger score is closer for
+    every metric: the cosine, the inner product for ``ip``, the negative distance
+    for ``l2``. Queries with fewer than ``k`` candidates get what there is. With
+    ``exclude_self`` a candidate with the id of the query does not count. Each
+    query row is answered for itself, also if its id is null or repeated. Neither
+    table is written unless both exceed the broadcast limit. See :mod:`.pairwise`
+    for ``plan`` and ``limits``.
     """
-    q = queries.select(F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector"))
-    q, c = numbered(q, LEFT_ROW), _candidates(catalog, id_column, group_column, vector_column)
-    out, partial = pairwise(
-        q, c, TopK(k, parse_metric(metric), exclude_self), _neighbor_schema(q, c),
-        "query_vector", "candidate_vector", plan, **limits,
-    )
-    return (rank_top_k(out, k) if partial else out).drop(LEFT_ROW)
+    q = _queries(queries, id_column, vector_column, carry)
+    c = _candidates(catalog, id_column, group_column, vector_column)
+    kernel = TopK(k, parse_metric(metric), exclude_self, ("query_id", *carry))
+    schema = _hit_schema(q, kernel.carried, c)
+    out, partial = pairwise(q, c, kernel, schema, "query_vector", "candidate_vector", plan, **limits)
+    return rank_top_k(out, k).drop(LEFT_ROW) if partial else out
 
 
 def attach_nearest(
@@ -228,61 +261,22 @@ def attach_nearest(
     """Each row with its ``n`` best centers: all its columns, ``center_id``,
     ``score`` and ``rank``. Ties go to the smaller center id.
 
-    While the centers fit the broadcast limit, rows stay where they are.
-    Beyond it they are compared in blocks and joined by a number of each row.
+    Rows stay where they are: while the centers fit the broadcast limit they are
+    sent to the tasks, beyond it they are written once and read in blocks. For
+    ``cosine`` rows and centers are of length 1, as the operators make them.
     """
-    metric = parse_metric(metric)
     c = centers.select(
         F.col(center_id).alias("candidate_id"),
         F.lit(None).cast("int").alias("candidate_group"),
         F.col(center_vector).alias("candidate_vector"),
     )
-    if not is_small(c, "candidate_vector", broadcast_bytes):
-        rows = numbered(rows, _ATTACHED)
-        q = rows.select(
-            F.col(_ATTACHED).alias(LEFT_ROW), F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector")
-        )
-        hits, _ = pairwise(
-            q, numbered(c, RIGHT_ROW), TopK(n, metric, False), _neighbor_schema(q, c),
-            "query_vector", "candidate_vector", "blocks", block_rows=block_rows,
-        )
-        hits = rank_top_k(hits, n).select(
-            F.col(LEFT_ROW).alias(_ATTACHED), F.col("candidate_id").alias(center_id), "score", "rank"
-        )
-        return rows.join(hits, _ATTACHED).drop(_ATTACHED)
-
-    kernel = TopK(n, metric, False)
-    shared = rows.sparkSession.sparkContext.broadcast(kernel.prepare(c.toArrow()))
-    schema = T.StructType(
-        [
-            *rows.schema.fields,
-            T.StructField(center_id, _type(c, "candidate_id")),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("rank", T.IntegerType()),
-        ]
-    )
-
-    def run(batches):
-        ids, _, vectors = shared.value
-        for batch in batches:
-            if not batch.num_rows or not len(ids):
-                continue
-            q = to_matrix(batch.column(vector_column))
-            same_length(q, vectors)
-            for start, stop in tiles(len(q), len(vectors)):
-                found, cols, scores = top_columns(q[start:stop], vectors, n, metric)
-                kept = batch.take(pa.array(found + start))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *kept.columns,
-                        ids.take(pa.array(cols)),
-                        pa.array(scores),
-                        pa.array(_positions(found), pa.int32()),
-                    ],
-                    names=[f.name for f in schema.fields],
-                )
-
-    return rows.where(F.col(vector_column).isNotNull()).mapInArrow(run, schema)
+    kernel = TopK(n, "ip" if parse_metric(metric) == "cosine" else metric.lower(), False, tuple(rows.columns), vector_column)
+    plan = "right" if is_small(c, "candidate_vector", broadcast_bytes) else "blocks"
+    hits, _ = pairwise(
+        rows, c, kernel, _hit_schema(rows, rows.columns, c), vector_column, "candidate_vector", plan,
+        broadcast_bytes=broadcast_bytes, block_rows=block_rows,
+    )
+    return hits.select(*rows.columns, F.col("candidate_id").alias(center_id), "score", "rank")
 
 
 def assign_cells(
@@ -296,6 +290,72 @@ def assign_cells(
     return hits.drop("score", "rank")
 
 
+def _cell_blocks(members: str, cell, columns: list[str], rows: int) -> Iterator[pa.Table]:
+    """The rows of one stored cell, read from its own folder; none if it has no member."""
+    folder = f"{members}/cell_id={cell}"
+    system, name = fs.FileSystem.from_uri(folder)
+    if system.get_file_info(name).type == fs.FileType.NotFound:
+        return iter(())
+    return stored_blocks(folder, columns, rows)
+
+
+@dataclass(frozen=True)
+class _Names:
+    """The columns of a stored catalogue."""
+
+    id_column: str = "item_id"
+    group_column: str = "group_id"
+    vector_column: str = "embedding"
+
+    def columns(self) -> list[str]:
+        return [self.id_column, self.group_column, self.vector_column]
+
+    def candidates(self, table: pa.Table) -> pa.Table:
+        found = table.select(self.columns()).rename_columns(["candidate_id", "candidate_group", "candidate_vector"])
+        return found.filter(pc.is_valid(found["candidate_vector"]))
+
+
+def _search_few(probed: pa.Table, catalog: DataFrame, kernel: TopK, schema, block_rows) -> DataFrame:
+    """Few queries: they go to the tasks that scan the probed cells, which Spark prunes by partition."""
+    cells = sorted(set(probed["cell_id"].to_pylist()))
+    shared = catalog.sparkSession.sparkContext.broadcast(
+        {cell: probed.filter(pc.equal(probed["cell_id"], cell)) for cell in cells}
+    )
+    schema = T.StructType([T.StructField(LEFT_ROW, T.LongType()), *schema.fields])
+    names = schema.names
+
+    def run(batches):
+        partial = None
+        for block in gathered(batches, block_rows):
+            for cell in pc.unique(block["cell_id"]).to_pylist():
+                out = kernel.compare(
+                    shared.value[cell], kernel.prepare(block.filter(pc.equal(block["cell_id"], cell)))
+                ).select(names)
+                partial = out if partial is None else kernel.merge(pa.concat_tables([partial, out])).select(names)
+        if partial is not None:
+            yield from partial.to_batches()
+
+    return catalog.where(F.col("cell_id").isin(cells)).mapInArrow(run, schema)
+
+
+def _search_many(probed: DataFrame, members: str, kernel: TopK, schema, names: _Names, block_rows) -> DataFrame:
+    """Many queries: each goes once to every cell it probes, and the task there reads the cell's files."""
+    sizes = probed.groupBy(F.col("cell_id").alias("of")).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    split = probed.join(sizes, F.col("cell_id") == F.col("of")).withColumn(
+        "block", F.pmod(F.xxhash64(LEFT_ROW), F.col("blocks"))
+    )
+    schema = T.StructType([T.StructField(LEFT_ROW, T.LongType()), *schema.fields])
+
+    def run(group: pa.Table) -> pa.Table:
+        cell = group["cell_id"][0].as_py()
+        blocks = map(names.candidates, _cell_blocks(members, cell, names.columns(), block_rows))
+        found = compare_all(kernel, group, blocks)
+        return empty if found is None else found.select(empty.column_names)
+
+    empty = arrow_schema(schema).empty_table()
+    return split.drop("of", "blocks").groupBy("cell_id", "block").applyInArrow(run, schema)
+
+
 def nearest_in_cells(
     queries: DataFrame,
     catalog_cells: DataFrame,
@@ -307,40 +367,149 @@ def nearest_in_cells(
     id_column: str = "item_id",
     group_column: str = "group_id",
     vector_column: str = "embedding",
-    block_rows: int | None = None,
+    block_rows: int = BLOCK_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    stored: str | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """The ``k`` nearest rows among the ``nprobe`` best cells of each query.
 
-    ``catalog_cells`` carries a ``cell_id``. With ``nprobe`` equal to the
-    number of cells the result is exact.
+    ``catalog_cells`` carries a ``cell_id``. With ``nprobe`` equal to the number of
+    cells the result is exact. Queries that fit the broadcast limit, once per probed
+    cell, are sent to the scan of the catalogue; read from ``write_cells``, only the
+    folders of the probed cells are scanned, and nothing of the catalogue is written
+    or shuffled. More queries are dealt to the cells they probe, and tasks read a
+    cell's files from ``stored``, the folder of ``write_cells``; without it the
+    catalogue is written by cells once.
     """
     # A row keeps its number in all the cells it probes.
-    queries = numbered(queries.select(id_column, vector_column), LEFT_ROW)
-    probed = assign_cells(
-        queries, cells, nprobe, metric, id_column=id_column, vector_column=vector_column
+    numbered_queries = queries.withColumn(_PROBE_ROW, F.monotonically_increasing_id())
+    q = _queries(numbered_queries, id_column, vector_column, (_PROBE_ROW, *carry))
+    few = is_small(q, "query_vector", broadcast_bytes // max(1, nprobe))
+    kernel = TopK(k, parse_metric(metric), exclude_self, ("query_id", *carry))
+    c = _candidates(catalog_cells, id_column, group_column, vector_column, "cell_id")
+    schema = _hit_schema(q, kernel.carried, c)
+    probed = assign_cells(q, cells, nprobe, metric, id_column="query_id", vector_column="query_vector")
+    probed = probed.withColumnRenamed(_PROBE_ROW, LEFT_ROW)
+    if few:
+        found = _search_few(probed.toArrow(), c.where("candidate_vector is not null"), kernel, schema, block_rows)
+    else:
+        if stored is None:
+            thin = catalog_cells.select(id_column, group_column, vector_column, "cell_id")
+            members = write_shared(thin.hint("rebalance", "cell_id"), ["cell_id"])
+        else:
+            members = f"{stored}/members"
+        names = _Names(id_column, group_column, vector_column)
+        found = _search_many(probed, members, kernel, schema, names, block_rows)
+    return rank_top_k(found, k).drop(LEFT_ROW)
+
+
+def cell_radii(
+    catalog_cells: DataFrame, cells: DataFrame, metric: str = "cosine", vector_column: str = "embedding"
+) -> DataFrame:
+    """``(cell_id, centroid, radius, n)``: the largest distance of a member from the centroid.
+
+    For ``cosine`` members are taken at length 1. A cell without members is left out.
+    """
+    vector = F.col(vector_column).cast("array<double>")
+    if parse_metric(metric) == "cosine":
+        vector = vector_functions.normalize(vector)
+    few = is_small(cells.select("cell_id", "centroid"), "centroid")
+    centers = F.broadcast(cells.select("cell_id", "centroid")) if few else cells.select("cell_id", "centroid")
+    gaps = catalog_cells.where(F.col(vector_column).isNotNull()).join(centers, "cell_id").select(
+        "cell_id", vector_functions.euclidean(vector, F.col("centroid")).alias("gap")
     )
-    q = materialize(
-        probed.select(
-            LEFT_ROW, F.col(id_column).alias("query_id"), F.col(vector_column).alias("query_vector"), "cell_id"
-        )
+    found = gaps.groupBy("cell_id").agg(F.max("gap").alias("radius"), F.count(F.lit(1)).alias("n"))
+    return cells.select("cell_id", "centroid").join(found, "cell_id")
+
+
+# Added to a bound, so that rounding never rules out a cell that holds a tie.
+_SLACK = 1e-6
+
+
+def nearest_by_bounds(
+    queries: DataFrame,
+    stored: str,
+    radii: DataFrame,
+    k: int = 5,
+    metric: str = "cosine",
+    exclude_self: bool = False,
+    id_column: str = "item_id",
+    group_column: str = "group_id",
+    vector_column: str = "embedding",
+    block_rows: int = 4096,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """The ``k`` nearest catalogue rows of each query row, exactly, by bounds on cells.
+
+    ``stored`` is the folder of ``write_cells`` and ``radii`` comes from
+    :func:`cell_radii`. By the triangle inequality no member of a cell is closer to a
+    query than the distance of the centroid less the radius. A query looks into its
+    closest cells until ``k`` rows are found, and then only into cells whose bound is
+    within its k-th distance; the others are not read. Besides the columns of
+    :func:`nearest` there is ``compared``, the candidates the query was compared
+    with. Queries stay where they are; nothing is shuffled. For ``cosine`` and ``l2``.
+    """
+    metric = parse_metric(metric)
+    if metric in ("ip", "inner_product"):
+        raise ValueError("inner products have no triangle inequality")
+    centers = radii.select("cell_id", "centroid", "radius", "n")
+    if not is_small(centers, "centroid", broadcast_bytes):
+        raise ValueError(f"the centroids exceed the broadcast limit of {broadcast_bytes} bytes")
+    table = centers.toArrow()
+    shared = queries.sparkSession.sparkContext.broadcast(
+        (table["cell_id"].to_pylist(), to_matrix(table["centroid"]), table["radius"].to_numpy())
     )
-    c = _candidates(catalog_cells, id_column, group_column, vector_column, "cell_id")
-    limits = {} if block_rows is None else {"block_rows": block_rows}
-    out, _ = pairwise(
-        q, c, TopK(k, parse_metric(metric), exclude_self), _neighbor_schema(q, c),
-        "query_vector", "candidate_vector",
-        cell="cell_id", few_cells=is_small(cells, "centroid"), **limits,
-    )
-    return rank_top_k(out, k).drop(LEFT_ROW)
+    q = _queries(queries, id_column, vector_column, carry).where("query_vector is not null")
+    c = queries.sparkSession.read.parquet(f"{stored}/members")
+    kernel = TopK(k, metric, exclude_self, ("query_id", *carry))
+    names = _Names(id_column, group_column, vector_column)
+    schema = _hit_schema(q, kernel.carried, _candidates(c, id_column, group_column, vector_column))
+    schema = T.StructType([*schema.fields, T.StructField("compared", T.LongType())])
+    members = f"{stored}/members"
+
+    def run(batches):
+        ids, centroids, reach = shared.value
+        for block in gathered(batches, block_rows):
+            if not len(ids):
+                continue
+            left = with_rows(block)
+            x = kernel._rows(left["query_vector"])
+            same_length(x, centroids)
+            gaps = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (centroids * centroids).sum(1) - 2 * x @ centroids.T, 0.0))
+            bounds = np.maximum(gaps - reach, 0.0)
+            kth = np.full(len(x), np.inf)
+            compared = np.zeros(len(x), dtype=np.int64)
+            found = None
+            # The cells that are closest to most queries come first, so that bounds are tight early.
+            for j in np.argsort(bounds.min(axis=0) + gaps.min(axis=0), kind="stable"):
+                near = np.flatnonzero(bounds[:, j] <= kth + _SLACK * (1 + np.where(np.isinf(kth), 0, kth)))
+                if not len(near):
+                    continue
+                some = left.take(pa.array(near))
+                for candidates in map(names.candidates, _cell_blocks(members, ids[j], names.columns(), BLOCK_ROWS)):
+                    out = kernel.compare(some, kernel.prepare(candidates))
+                    compared[near] += len(candidates)
+                    found = out if found is None else kernel.merge(pa.concat_tables([found, out]))
+                if found is not None:
+                    last = found.filter(pc.equal(found["rank"], k))
+                    scores = last["score"].to_numpy()
+                    distance = -scores if metric not in INNER_PRODUCT else np.sqrt(np.maximum(2.0 - 2.0 * scores, 0.0))
+                    kth[last[LEFT_ROW].to_numpy()] = distance
+            if found is not None:
+                counts = pa.array(compared[found[LEFT_ROW].to_numpy()])
+                yield from found.append_column("compared", counts).select(schema.names).to_batches()
+
+    return q.mapInArrow(run, schema)
 
 
 def nearest_pairs(catalog: DataFrame, metric: str = "cosine", **options) -> DataFrame:
     """Each item with its nearest other item and both groups."""
-    id_column = options.get("id_column", "item_id")
     group_column = options.get("group_column", "group_id")
-    best = nearest(catalog, catalog, 1, metric, exclude_self=True, **options)
-    groups = catalog.select(F.col(id_column).alias("query_id"), F.col(group_column).alias("query_group")).distinct()
-    return best.join(groups, "query_id").select(
+    rows = catalog.withColumn("query_group", F.col(group_column))
+    best = nearest(rows, catalog, 1, metric, exclude_self=True, carry=("query_group",), **options)
+    return best.select(
         F.col("query_id").alias("item_id"),
         F.col("query_group").alias("group_id"),
         F.col("candidate_id").alias("nearest_id"),

@@ -4,34 +4,36 @@ Vectors are compared as matrix products inside tasks and only reduced rows
 leave a task, so pairs never become rows. Three plans give the same result:
 
 * ``right``: the right table is small enough to broadcast. Left rows stay
-  where they are and nothing is shuffled.
+  where they are and nothing is shuffled or written.
 * ``left``: the left table is small enough to broadcast. Right rows stay where
-  they are and each task emits one reduced result per left row.
-* ``blocks``: both tables are large. Both are hashed into blocks of a bounded
-  row count and each pair of blocks is one task's group. A cell column limits
-  the pairs to those of the same cell; a hot cell gets more blocks.
-
-After ``left`` and ``blocks`` the caller merges the partial results. Rows are told
-apart by numbers of their own, the columns ``LEFT_ROW`` and ``RIGHT_ROW``, never
-by their ids, so null and repeated ids give the same result under every plan and
-do not fall into one block.
+  they are, nothing of them is written, and each task emits one reduced result
+  per left row.
+* ``blocks``: both tables are large. The right table is written once to the shared
+  folder. Each task takes blocks of its left rows and reads the right table's files
+  block by block. No vector is shuffled, and no row is repeated for pairs of blocks.
+
+Under ``right`` and ``blocks`` a task sees all right rows, so its results are
+complete; after ``left`` the caller merges the partial results. Rows of a block are
+told apart by their place, the column ``LEFT_ROW``, never by their ids, so null and
+repeated ids give the same result under every plan.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_BYTES, materialize
+from ..session import BROADCAST_BYTES, materialize, write_shared
 
 LEFT_ROW = "left_row"
-RIGHT_ROW = "right_row"
 
 # Rows of one block: 50,000 vectors of 768 numbers are 300 MB as double.
 BLOCK_ROWS = 50_000
@@ -43,11 +45,18 @@ _ROW_BYTES = 32
 
 
 class Kernel(Protocol):
-    """What happens between a table of left rows and a table of right rows."""
+    """What happens between a table of left rows, with ``LEFT_ROW``, and a table of right rows."""
 
     def prepare(self, right: pa.Table) -> object: ...
 
-    def compare(self, left: pa.Table, prepared: object) -> pa.Table: ...
+    def compare(self, left: pa.Table, prepared: object) -> pa.Table:
+        """Reduced rows, with ``LEFT_ROW``."""
+
+    def merge(self, partial: pa.Table) -> pa.Table:
+        """One reduced result from those of several right tables.
+
+        A kernel may have ``finish`` besides, which takes a complete result.
+        """
 
 
 def to_matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -84,102 +93,96 @@ def is_small(df: DataFrame, vector: str, limit: int = BROADCAST_BYTES) -> bool:
     return (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit
 
 
-def _map_right(left: DataFrame, right: DataFrame, kernel: Kernel, schema) -> DataFrame:
-    spark = left.sparkSession
-    prepared = spark.sparkContext.broadcast(kernel.prepare(right.toArrow()))
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                out = kernel.compare(pa.Table.from_batches([batch]), prepared.value)
-                yield from out.to_batches()
-
-    return left.mapInArrow(run, schema)
+def with_rows(table: pa.Table) -> pa.Table:
+    """``table`` with the place of each row."""
+    return table.append_column(LEFT_ROW, pa.array(np.arange(len(table))))
 
 
-def _map_left(left: DataFrame, right: DataFrame, kernel: Kernel, schema, block_rows) -> DataFrame:
-    spark = left.sparkSession
-    shared = spark.sparkContext.broadcast(left.toArrow())
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of at least ``rows`` rows, but for the last, from the batches of a task."""
+    waiting, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(waiting)
+            waiting, n = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
 
-    def run(batches):
-        partial, waiting, rows = None, [], 0
 
-        def merged():
-            out = kernel.compare(shared.value, kernel.prepare(pa.Table.from_batches(waiting)))
-            return out if partial is None else kernel.merge(pa.concat_tables([partial, out]))
+def stored_blocks(path: str, columns: list[str], rows: int) -> Iterator[pa.Table]:
+    """The rows of a Parquet table in the shared folder, some ``rows`` at a time."""
+    system, name = fs.FileSystem.from_uri(path)
+    source = ds.dataset(name, filesystem=system, format="parquet", exclude_invalid_files=False)
+    batches = source.to_batches(columns=columns, batch_size=rows, batch_readahead=1, fragment_readahead=1)
+    return gathered(batches, rows)
 
-        for batch in batches:
-            waiting.append(batch)
-            rows += batch.num_rows
-            if rows >= block_rows:
-                partial, waiting, rows = merged(), [], 0
-        if rows:
-            partial = merged()
-        if partial is not None:
-            yield from partial.to_batches()
 
-    return right.mapInArrow(run, schema)
+def compare_all(kernel: Kernel, left: pa.Table, rights: Iterator[pa.Table]) -> pa.Table | None:
+    """The merged result of one left table and several right ones."""
+    partial = None
+    for right in rights:
+        out = kernel.compare(left, kernel.prepare(right))
+        partial = out if partial is None else kernel.merge(pa.concat_tables([partial, out]))
+    return partial
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written once, with a number for each row that no other row has."""
-    return materialize(df.withColumn(name, F.monotonically_increasing_id()))
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
 
+    return to_arrow_schema(schema)
 
-def _block(key: str, blocks) -> F.Column:
-    return F.pmod(F.xxhash64(key), blocks).cast("int")
 
+def _finished(kernel: Kernel, complete: pa.Table, names: list[str]) -> pa.Table:
+    finish = getattr(kernel, "finish", None)
+    return (finish(complete) if finish else complete).select(names)
 
-def _copies(blocks) -> F.Column:
-    return F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")))
 
+def _map_right(left: DataFrame, right: DataFrame, kernel: Kernel, schema) -> DataFrame:
+    spark = left.sparkSession
+    prepared = spark.sparkContext.broadcast(kernel.prepare(right.toArrow()))
+    names = schema.names
 
-def _cogroup(left, right, keys, kernel, schema) -> DataFrame:
-    fields = left.columns, right.columns
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                out = kernel.compare(with_rows(pa.Table.from_batches([batch])), prepared.value)
+                yield from _finished(kernel, out, names).to_batches()
 
-    def run(left_block: pa.Table, right_block: pa.Table) -> pa.Table:
-        if not left_block.num_rows or not right_block.num_rows:
-            return empty
-        return kernel.compare(
-            left_block.select(fields[0]), kernel.prepare(right_block.select(fields[1]))
-        )
+    return left.mapInArrow(run, schema)
 
-    empty = _arrow_schema(schema).empty_table()
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
+def _map_left(left: DataFrame, right: DataFrame, kernel: Kernel, schema, block_rows) -> DataFrame:
+    shared = left.sparkSession.sparkContext.broadcast(with_rows(left.toArrow()))
+    schema = T.StructType([T.StructField(LEFT_ROW, T.LongType()), *schema.fields])
+    names = schema.names
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+    def run(batches):
+        partial = compare_all(kernel, shared.value, gathered(batches, block_rows))
+        if partial is not None:
+            yield from partial.select(names).to_batches()
 
-    return to_arrow_schema(schema)
+    return right.mapInArrow(run, schema)
 
 
-def _grid(left, right, kernel, schema, block_rows) -> DataFrame:
-    n_left = max(1, math.ceil(left.count() / block_rows))
-    n_right = max(1, math.ceil(right.count() / block_rows))
-    lefts = left.withColumns({"lb": _block(LEFT_ROW, F.lit(n_left)), "rb": _copies(F.lit(n_right))})
-    rights = right.withColumns({"rb": _block(RIGHT_ROW, F.lit(n_right)), "lb": _copies(F.lit(n_left))})
-    return _cogroup(lefts, rights, ["lb", "rb"], kernel, schema)
+def _map_blocks(left: DataFrame, right: DataFrame, kernel: Kernel, schema, block_rows) -> DataFrame:
+    path = write_shared(right)
+    columns, names = right.columns, schema.names
 
+    def run(batches):
+        for block in gathered(batches, block_rows):
+            found = compare_all(kernel, with_rows(block), stored_blocks(path, columns, block_rows))
+            if found is not None:
+                yield from _finished(kernel, found, names).to_batches()
 
-def _cell_grid(left, right, cell, few_cells, kernel, schema, block_rows):
-    """Block pairs within cells: a cell gets blocks by its own row counts."""
+    return left.mapInArrow(run, schema)
 
-    def blocks(df, name):
-        counts = df.groupBy(cell).agg(F.count(F.lit(1)).alias("n"))
-        return counts.select(cell, F.ceil(F.col("n") / F.lit(block_rows)).alias(name))
 
-    sizes = blocks(left, "n_left").join(blocks(right, "n_right"), cell)
-    if few_cells:
-        sizes = F.broadcast(sizes)
-    lefts = left.join(sizes, cell).withColumns(
-        {"lb": _block(LEFT_ROW, F.col("n_left")), "rb": _copies(F.col("n_right"))}
-    )
-    rights = right.join(sizes, cell).withColumns(
-        {"rb": _block(RIGHT_ROW, F.col("n_right")), "lb": _copies(F.col("n_left"))}
-    )
-    drop = ["n_left", "n_right"]
-    return _cogroup(lefts.drop(*drop), rights.drop(*drop), [cell, "lb", "rb"], kernel, schema)
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once, with a number for each row that no other row has."""
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()))
 
 
 def pairwise(
@@ -190,20 +193,14 @@ def pairwise(
     left_vector: str,
     right_vector: str,
     plan: str = "auto",
-    cell: str | None = None,
-    few_cells: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
 ) -> tuple[DataFrame, bool]:
     """Reduced rows of the comparison, and whether they still need merging.
 
-    ``few_cells`` says that the cells passed :func:`is_small`, so a table with
-    one short row per cell may be broadcast. ``left`` has ``LEFT_ROW`` and
-    ``right`` has ``RIGHT_ROW``, see :func:`numbered`. A side that a plan
-    broadcasts must fit, also if the plan is given.
+    Rows that need merging have ``LEFT_ROW`` before the columns of ``schema``. A
+    side that a plan broadcasts must fit, also if the plan is given.
     """
-    if cell is not None:
-        return _cell_grid(left, right, cell, few_cells, kernel, schema, block_rows), True
     if plan in ("right", "left"):
         side, vector = (right, right_vector) if plan == "right" else (left, left_vector)
         if not is_small(side, vector, broadcast_bytes):
@@ -211,7 +208,7 @@ def pairwise(
     if plan == "auto":
         if is_small(right, right_vector, broadcast_bytes):
             plan = "right"
-        elif hasattr(kernel, "merge") and is_small(left, left_vector, broadcast_bytes):
+        elif is_small(left, left_vector, broadcast_bytes):
             plan = "left"
         else:
             plan = "blocks"
@@ -222,5 +219,5 @@ def pairwise(
     if plan == "left":
         return _map_left(left, right, kernel, schema, block_rows), True
     if plan == "blocks":
-        return _grid(left, right, kernel, schema, block_rows), True
+        return _map_blocks(left, right, kernel, schema, block_rows), False
     raise ValueError(f"unknown plan: {plan}")

@@ -33,12 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
 _written: dict[int, list[str]] = {}
 
 
-def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    The result no longer depends on the lineage of ``df``, is columnar, and
-    survives the loss of any executor.
-    """
+def write_shared(df: DataFrame, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` to a table of its own in the shared folder; returns its path."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/catalith-{uuid.uuid4().hex}"
     writer = df.write
@@ -46,11 +42,20 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     _written.setdefault(id(spark.sparkContext), []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    The result no longer depends on the lineage of ``df``, is columnar, and
+    survives the loss of any executor.
+    """
+    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, partition_by))
 
 
 def clear_materialized(spark: SparkSession) -> int:
-    """Delete the tables that :func:`materialize` wrote for this application.
+    """Delete the tables that :func:`write_shared` wrote for this application.
 
     Call it when no result that reads them is needed any more. Returns how many
     there were.

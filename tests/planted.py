@@ -24,6 +24,7 @@ def table(spark, ids, labels, x, partitions=3):
 def brute_force(ids, labels, x, k, metric="cosine", exclude_self=True):
     x = x.astype(np.float64)
     if metric == "cosine":
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
         s = np.array([[round(float(a @ b), 9) for b in x] for a in x])
     else:
         s = np.array([[round(-float(np.linalg.norm(a - b)), 9) for b in x] for a in x])
@@ -31,5 +32,5 @@ def brute_force(ids, labels, x, k, metric="cosine", exclude_self=True):
     for i, q in enumerate(ids):
         order = sorted((-s[i, j], c, j) for j, c in enumerate(ids) if not (exclude_self and c == q))
         for rank, (score, c, j) in enumerate(order[:k], 1):
-            out.append((q, c, f"g{labels[j]}", round(-score, 6) + 0.0, rank))
+            out.append((q, c, f"g{labels[j]}", round(float(-score), 6) + 0.0, rank))
     return sorted(out)

@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from conftest import rows
 from planted import brute_force, planted, table
 from pyspark.sql import functions as F
 
+from catalith import session
 from catalith.operators import evaluate, knn
 from catalith.operators.cluster import kmeans
+from catalith.sources import readers, writers
 
 COLUMNS = ["query_id", "candidate_id", "candidate_group", "score", "rank"]
 
@@ -36,18 +40,130 @@ def test_all_plans_agree_with_brute_force(spark, make, metric):
         assert found(got) == want, plan
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def written(spark):
+    return sum(len(paths) for paths in session._written.values())
+
+
 def test_plan_follows_the_sizes(spark):
     catalog = table(spark, *planted(4, 10))
     few = catalog.limit(2)
 
     def operators(queries, limit):
+        before = written(spark)
         out = knn.nearest(queries, catalog, 3, broadcast_bytes=limit)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        return "MapInArrow" in plan, "Window" in plan, "FlatMapCoGroups" in plan
+        plan = executed(out)
+        return "MapInArrow" in plan, "Window" in plan, written(spark) - before
+
+    # One side is sent to the tasks and nothing is written; only two large sides write one of them.
+    assert operators(few, 64 << 20) == (True, False, 0)
+    assert operators(few, 16 * 8 * 3) == (True, True, 0)
+    assert operators(catalog, 16 * 8 * 3) == (True, False, 1)
+
+
+def test_two_large_sides_are_not_shuffled(spark):
+    """No exchange and no copies of rows, however many pairs of blocks there are."""
+    ids, labels, x = planted(6, 20)
+    catalog = session.materialize(table(spark, ids, labels, x))
+    out = knn.nearest(catalog, catalog, 4, "cosine", True, plan="blocks", block_rows=7)
+    assert not any(word in executed(out) for word in ("Exchange", "Generate", "Join"))
+    assert found(out) == brute_force(ids, labels, x, 4)
+
+
+def test_cosine_divides_by_the_lengths(spark):
+    ids, labels, x = planted(4, 10)
+    lengths = np.random.default_rng(2).uniform(0.1, 9.0, len(x))[:, None]
+    long_ = table(spark, ids, labels, x * lengths)
+    assert found(knn.nearest(long_, long_, 4, "cosine", True)) == brute_force(ids, labels, x, 4)
+    zero = table(spark, ["z"], [0], np.zeros((1, x.shape[1])))
+    assert {r.score for r in knn.nearest(zero, long_, 3).collect()} == {0.0}
+
+
+def stored(spark, catalog, path, k=6):
+    cells = kmeans(catalog, k).withColumnRenamed("cluster_id", "cell_id")
+    writers.write_cells(knn.assign_cells(catalog, cells), cells, path)
+    return readers.read_cells(spark, path)
+
+
+def test_a_search_reads_only_its_cells(spark, tmp_path):
+    ids, labels, x = planted(8, 20)
+    catalog = table(spark, ids, labels, x)
+    path = str(tmp_path / "cells")
+    members, cells = stored(spark, catalog, path, 8)
+    before = written(spark)
+    out = knn.nearest_in_cells(catalog.limit(1), members, cells, 3, nprobe=2)
+    assert written(spark) == before
+    plan = out._jdf.queryExecution().toString()
+    pruned = re.search(r"PartitionFilters: \[[^]]*cell_id#\d+ IN \(([^)]*)\)", plan)
+    assert pruned and len(pruned[1].split(",")) == 2
+    assert out.count() == 3
+    # Queries beyond the limit are dealt to their cells, whose files the tasks read.
+    dealt = knn.nearest_in_cells(catalog, members, cells, 3, nprobe=2, broadcast_bytes=1, block_rows=9, stored=path)
+    small = knn.nearest_in_cells(catalog, members, cells, 3, nprobe=2, block_rows=9)
+    unstored = knn.nearest_in_cells(catalog, members, cells, 3, nprobe=2, broadcast_bytes=1)
+    assert found(dealt) == found(small) == found(unstored)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+@pytest.mark.parametrize("make", [lambda: planted(8, 25, noise=0.2), with_copies])
+def test_bounds_give_the_exact_neighbours_with_fewer_candidates(spark, tmp_path, make, metric):
+    ids, labels, x = make()
+    catalog = session.materialize(table(spark, ids, labels, x))
+    path = str(tmp_path / "cells")
+    members, cells = stored(spark, catalog, path, 8)
+    radii = knn.cell_radii(members, cells, metric)
+    before = written(spark)
+    out = knn.nearest_by_bounds(catalog, path, radii, 4, metric, exclude_self=True, block_rows=30)
+    assert not any(word in executed(out) for word in ("Exchange", "Join")) and written(spark) == before
+    assert found(out) == brute_force(ids, labels, x, 4, metric)
+    compared = {r[0]: r[1] for r in out.select("query_id", "compared").distinct().collect()}
+    assert sum(compared.values()) < 0.8 * len(ids) ** 2
+    with pytest.raises(ValueError, match="triangle"):
+        knn.nearest_by_bounds(catalog, path, radii, 4, "ip")
+
+
+def test_bounds_on_odd_rows(spark, tmp_path):
+    ids, labels, x = planted(3, 8)
+    catalog = table(spark, ids, labels, x)
+    holes = catalog.unionAll(catalog.limit(1).select(F.lit(None).cast("string"), "group_id", F.lit(None)))
+    path = str(tmp_path / "cells")
+    members, cells = stored(spark, catalog, path, 3)
+    radii = knn.cell_radii(members, cells)
+    assert knn.nearest_by_bounds(holes, path, radii, 100).count() == len(ids) ** 2
+    assert knn.nearest_by_bounds(catalog.limit(0), path, radii, 2).count() == 0
+    assert knn.nearest_by_bounds(catalog, path, radii.limit(0), 2).count() == 0
 
-    assert operators(few, 64 << 20) == (True, False, False)
-    assert operators(few, 16 * 8 * 3) == (True, True, False)
-    assert operators(catalog, 16 * 8 * 3) == (False, True, True)
+
+def test_recall_grows_with_the_probes(spark, tmp_path):
+    ids, labels, x = planted(10, 20, noise=0.5)
+    catalog = table(spark, ids, labels, x)
+    members, cells = stored(spark, catalog, str(tmp_path / "cells"), 10)
+    want = {r[:2] for r in brute_force(ids, labels, x, 5)}
+    recall = []
+    for nprobe in (1, 3, 10):
+        got = {r[:2] for r in found(knn.nearest_in_cells(catalog, members, cells, 5, nprobe, exclude_self=True))}
+        recall.append(len(got & want) / len(want))
+    assert recall == sorted(recall) and recall[0] > 0.3 and recall[-1] == 1.0
+
+
+def repeated(spark):
+    """Four vectors, of which two share an id and one has none."""
+    x = np.array([[1.0, 0.0], [0.9, 0.1], [0.0, 1.0], [0.1, 0.9]])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return table(spark, ["a", None, "a", "b"], ["p", "p", "q", "q"], x)
+
+
+def test_repeated_and_null_ids_stay_rows_of_their_own(spark):
+    # A row without an id excludes nothing, so it finds itself.
+    pairs = knn.nearest_pairs(repeated(spark)).select("item_id", "group_id", "nearest_id", "nearest_group").collect()
+    assert sorted(map(tuple, pairs), key=repr) == sorted(
+        [("a", "gp", None, "gp"), (None, "gp", None, "gp"), ("a", "gq", "b", "gq"), ("b", "gq", "a", "gq")], key=repr
+    )
+    metrics = evaluate.evaluate(repeated(spark), repeated(spark), 1).collect()
+    assert [(r["metric"], r["value"], r["n"]) for r in metrics] == [("p", 1.0, 4)]
 
 
 def test_rows_do_not_depend_on_order_or_partitions(spark):

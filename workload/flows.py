@@ -138,6 +138,14 @@ def new_item_neighbors(spark, folder):
     return plans.find_neighbors(new, catalog, 3, make_encoder=LetterEncoder)
 
 
+def new_item_neighbors_cells(spark, folder):
+    """New items among the catalogue of the others, stored by cells, of which all are probed."""
+    old, new = _old_and_new(spark, folder)
+    catalog = materialize(plans.build_catalog(old, make_encoder=LetterEncoder))
+    members, cells = plans.build_cells(catalog, 6, _path(spark, "cells"))
+    return plans.find_neighbors(new, members, 3, make_encoder=LetterEncoder, cells=cells, nprobe=6)
+
+
 def new_item_clusters(spark, folder):
     """New items in clusters of the others, by source; unlike ones in none."""
     old, new = _old_and_new(spark, folder)
@@ -178,6 +186,7 @@ QUERIES = {
         distance_scores,
         plugged_encoder,
         new_item_neighbors,
+        new_item_neighbors_cells,
         new_item_clusters,
         precision_in_cells,
         tuning_search,
@@ -196,6 +205,16 @@ coded AS (
   FROM counts)
 """
 
+_COSINE = "round(coalesce(list_inner_product(q.e, c.e) / nullif(sqrt(list_inner_product(q.e, q.e) * list_inner_product(c.e, c.e)), 0), 0), 9)"
+_NEW_NEIGHBORS = f"""
+WITH {DOCUMENT_VIEWS_SQL}, {_LETTERS_SQL},
+ranked AS (
+  SELECT q.item_id AS query_id, c.item_id AS candidate_id, c.group_id AS candidate_group,
+         {_COSINE} AS score,
+         CAST(row_number() OVER (PARTITION BY q.item_id ORDER BY {_COSINE} DESC, c.item_id) AS INTEGER) AS rank
+  FROM coded q JOIN coded c ON q.item_id % 2 = 1 AND c.item_id % 2 = 0 QUALIFY rank <= 3)
+SELECT query_id, candidate_id, candidate_group, score, rank FROM ranked"""
+
 ORACLES = {
     "chapters_csv": """
 SELECT l_orderkey AS item_id, CAST(l_linenumber AS BIGINT) AS chapter_number, p_name AS chapter_title,
@@ -226,15 +245,8 @@ FROM v CROSS JOIN f""",
     "plugged_encoder": f"""
 WITH {DOCUMENT_VIEWS_SQL}, {_LETTERS_SQL}
 SELECT item_id, group_id, CAST(generate_subscripts(e, 1) - 1 AS INTEGER) AS pos, round(unnest(e), 6) AS value FROM coded""",
-    "new_item_neighbors": f"""
-WITH {DOCUMENT_VIEWS_SQL}, {_LETTERS_SQL},
-ranked AS (
-  SELECT q.item_id AS query_id, c.item_id AS candidate_id, c.group_id AS candidate_group,
-         round(list_inner_product(q.e, c.e), 9) AS score,
-         CAST(row_number() OVER (
-           PARTITION BY q.item_id ORDER BY round(list_inner_product(q.e, c.e), 9) DESC, c.item_id) AS INTEGER) AS rank
-  FROM coded q JOIN coded c ON q.item_id % 2 = 1 AND c.item_id % 2 = 0 QUALIFY rank <= 3)
-SELECT query_id, candidate_id, candidate_group, score, rank FROM ranked""",
+    "new_item_neighbors": _NEW_NEIGHBORS,
+    "new_item_neighbors_cells": _NEW_NEIGHBORS,
     "new_item_clusters": f"""
 WITH {DOCUMENT_VIEWS_SQL}, {_LETTERS_SQL},
 sides AS (
