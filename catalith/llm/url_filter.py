@@ -270,21 +270,23 @@ def train(labelled: DataFrame) -> DataFrame:
         "i", F.col("row.label").alias("label"), features.alias("features")
     )
     scale = F.when(F.size("features") > 0, 1.0 / F.sqrt(F.size("features").cast("double"))).otherwise(F.lit(0.0))
-    rows = examples.agg(
-        F.array_sort(F.collect_list(F.struct("i", "label", scale.alias("scale"), "features"))).alias("examples")
-    )
-    spark = labelled.sparkSession
+    example = F.struct("i", "label", scale.alias("scale"), "features")
     held = (
         examples.select("i", F.explode("features").alias("id"))
         .groupBy("id")
         .agg(F.array_sort(F.collect_list("i")).alias("of"))
     )
-    every = spark.range(BUCKETS + 1).join(held, "id", "left")
-    postings = every.agg(
-        F.array_sort(F.collect_list(F.struct("id", F.coalesce("of", F.array().cast("array<int>")).alias("of")))).alias("held")
-    ).select(F.transform("held", lambda x: x["of"]).alias("postings"))
-    one = F.lit(1).alias("one")
-    both = rows.select("examples", one).join(postings.select("postings", one), "one")
+    every = labelled.sparkSession.range(BUCKETS + 1).join(held, "id", "left")
+    posting = F.struct("id", F.coalesce("of", F.array().cast("array<int>")).alias("of"))
+    # One row of both arrays; nulls are not collected.
+    both = (
+        examples.select(example.alias("example"), F.lit(None).alias("posting"))
+        .unionByName(every.select(F.lit(None).alias("example"), posting.alias("posting")))
+        .agg(
+            F.array_sort(F.collect_list("example")).alias("examples"),
+            F.transform(F.array_sort(F.collect_list("posting")), lambda x: x["of"]).alias("postings"),
+        )
+    )
     return both.select(_fold(F.col("examples"), F.col("postings")).alias("weights"))
 
 
