@@ -216,7 +216,26 @@ def _placed_sql(source: str) -> str:
   FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM {source})"""
 
 
-_ALLOWED_SQL = " OR ".join(f"regexp_matches(part, {_quoted(p)})" for p in secrets.ALLOWED)
+# Fixed values, written apart from the operator's: what is blanked, and the classes with width and threshold.
+_HARMLESS = (
+    ("[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}", 36),
+    *((f"(?i:{w})", n) for w, n in (("example", 7), ("sample", 6), ("placeholder", 11), ("dummy", 5), ("changeme", 8))),
+    *((w, 8) for w in ("(?i:x{8})", "0{8}", "12345678")),
+)
+_CLASSES = (("[-+/_0-9A-Za-z]{20,}", 20, 3.8, "false"), ("[0-9A-F]{20,}", 16, 3.0, "true"))
+
+
+def _blanked_sql(part: str) -> str:
+    """``part`` with blanks for harmless matches, and for stretches of letters or of digits between separators."""
+    for pattern, size in _HARMLESS:
+        part = f"regexp_replace({part}, '{pattern}', repeat(' ', {size}), 'g')"
+    plain = "regexp_full_match(p, '[A-Za-z]*') OR regexp_full_match(p, '[0-9]*')"
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({part}, '[A-Za-z0-9]+|[^A-Za-z0-9]'), "
+        f"lambda p: CASE WHEN {plain} THEN repeat(' ', length(p)) ELSE p END), '')"
+    )
+
+
 _BASE_KINDS = ((secrets.ASSIGN, 0), (secrets.ACCESS, 1), (secrets.HEX, 2))
 SECRETS_SQL = f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
@@ -225,15 +244,19 @@ base AS (
   SELECT doc_id, rank, kind, start, start + len(part) AS stop FROM ({_placed_sql("known")})
   WHERE rank <> 0 OR len(regexp_extract(part, {_quoted(secrets.ASSIGN)}, 2)) >= {secrets.ASSIGN_CHARS}),
 random AS ({" UNION ALL ".join(
-    _matches_sql(r.pattern, f"{r.width} AS width, CAST({r.bits} AS DOUBLE) AS bits, {str(r.fold).lower()} AS folded")
-    for r in secrets.RUNS)}),
-runs AS (
-  SELECT *, CASE WHEN folded THEN lower(part) ELSE part END AS seen FROM ({_placed_sql("random")}) AS r
-  WHERE regexp_matches(part, '[0-9]') AND regexp_matches(part, '[A-Za-z]') AND NOT ({_ALLOWED_SQL})
+    _matches_sql(pattern, f"{width} AS width, {bits}::DOUBLE AS bits, {fold} AS folded") for pattern, width, bits, fold in _CLASSES)}),
+shown AS (
+  SELECT doc_id, width, bits, start AS run_start, CASE WHEN folded THEN lower(part) ELSE part END AS part FROM ({_placed_sql("random")})),
+clean AS (SELECT * EXCLUDE (part), {_blanked_sql("part")} AS body FROM shown),
+cut AS (
+  SELECT doc_id, width, bits, run_start, regexp_extract_all(body, '[A-Za-z0-9][^ ]*[A-Za-z0-9]') AS f,
+         string_split_regex(body, '[A-Za-z0-9][^ ]*[A-Za-z0-9]') AS gaps FROM clean),
+segments AS (
+  SELECT doc_id, width, bits, run_start + start AS start, part FROM ({_placed_sql("cut")}) AS r WHERE len(part) >= width
     AND NOT EXISTS (
-      SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start <= r.start AND b.stop >= r.start + len(part))),
-windows AS (SELECT *, unnest(range(1, len(seen) - width + 2)) AS w FROM runs),
-letters AS (SELECT doc_id, start, width, bits, part, w, unnest(string_split(substr(seen, w, width), '')) AS c FROM windows),
+      SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start <= run_start + r.start AND b.stop >= run_start + r.start + len(part))),
+windows AS (SELECT *, unnest(range(1, len(part) - width + 2)) AS w FROM segments),
+letters AS (SELECT doc_id, start, width, bits, part, w, unnest(string_split(substr(part, w, width), '')) AS c FROM windows),
 counts AS (SELECT doc_id, start, width, bits, part, w, c, count(*) AS n FROM letters GROUP BY ALL),
 bits AS (
   SELECT doc_id, start, width, bits, part, w, -sum(n / width * log2(n / width)) AS h FROM counts
@@ -242,7 +265,7 @@ fresh AS (
   SELECT DISTINCT doc_id, 3 AS rank, 'entropy' AS kind, start, start + len(part) AS stop FROM (
     SELECT doc_id, start, part, bits, max(h) AS h FROM bits GROUP BY ALL) WHERE round(h, 9) >= bits),
 spans AS (SELECT * FROM base UNION ALL SELECT * FROM fresh),
-shown AS (
+listed AS (
   SELECT doc_id,
          count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
          coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) FILTER (rank < 3), '') AS known,
@@ -250,7 +273,7 @@ shown AS (
   FROM spans GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(known, '')) AS base_sha256, coalesce(spans, '') AS spans
-FROM texts LEFT JOIN shown USING (doc_id)
+FROM texts LEFT JOIN listed USING (doc_id)
 """
 
 

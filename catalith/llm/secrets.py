@@ -1,19 +1,27 @@
-"""Secrets in whole texts: known forms, and runs of high sliding-window entropy.
+"""Secrets in whole texts: known forms, and segments of high sliding-window entropy.
 
 Four kinds of spans, all in code points with an exclusive end:
 
 * ``assign``, ``access``, ``hex``: the leftmost non-overlapping matches of a
   pattern, of which those that are too short are dropped.
-* ``entropy``: a run of one character class in which some window of ``width``
-  characters has at least ``bits`` of Shannon entropy. The window moves by one
-  character at a time; the counts of the leaving and of the entering character
-  change by one, and the sum of ``c log2 c`` follows from these two counts. Runs
-  that an allow-list pattern matches, and runs inside a span of another kind,
-  are suppressed.
+* ``entropy``: a segment of a run of one character class in which some window of
+  ``width`` characters has at least ``bits`` of Shannon entropy. The window moves by
+  one character at a time; the counts of the leaving and of the entering character
+  change by one, and the sum of ``c log2 c`` follows from these two counts.
+
+The allow-list blanks what it matches inside a run (words of examples, UUIDs, and
+parts between separators that are letters only or digits only, as in paths, slugs
+and dates). What remains between the blanks, without separators at its ends, are
+the segments, so a key behind a path is found and told apart from the path.
+Segments inside a span of another kind are suppressed.
 
 Everything is a column expression, so no row leaves the JVM and nothing is
-shuffled. Defined cases: a null text reads as empty and has no spans. Rows that
-repeat are scanned each for itself. Only the text column is read.
+shuffled. No pattern repeats a group, since such patterns are matched by recursion,
+and a segment is cut once into pieces of ``PIECE`` windows that overlap by
+``width - 1`` characters, so the work is linear in the text whatever its runs are.
+
+Defined cases: a null text reads as empty and has no spans. Rows that repeat are
+scanned each for itself. Only the text column is read.
 """
 
 from __future__ import annotations
@@ -32,15 +40,15 @@ HEX = r"[0-9a-f]{16,}"
 ASSIGN_CHARS = 12
 KINDS = ("assign", "access", "hex", "entropy")
 
-# Text that looks random and is no secret.
+# Text that looks random and is no secret; a match is blanked.
 ALLOWED = (
-    r"^[0-9]+$",
-    r"^[A-Za-z]+$",
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)example|sample|placeholder|dummy|changeme|xxxx|0000|1234",
-    r"^[A-Za-z]+([-_/][A-Za-z]+)+$",
-    r"^([A-Za-z]+[-_/])*[A-Za-z]*[0-9]{1,4}$",
+    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
+    *("(?i)" + word for word in ("example", "sample", "placeholder", "dummy", "changeme", "xxxxxxxx", "00000000", "12345678")),
 )
+ALLOWED_SIZES = (36, 7, 6, 11, 5, 8, 8, 8, 8)
+BLANK = " "
+SEGMENT = r"[A-Za-z0-9][^ ]*[A-Za-z0-9]"
+PIECE = 256
 
 
 @dataclass(frozen=True)
@@ -54,6 +62,7 @@ class RandomRun:
     fold: bool = False
 
 
+# The classes, with window and threshold.
 RUNS = (
     RandomRun(r"[A-Za-z0-9+/_-]{20,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.8),
     RandomRun(r"[0-9A-F]{20,}", "0123456789abcdef", 16, 3.0, fold=True),
@@ -111,43 +120,136 @@ def _positions(places: Column) -> Column:
     return F.flatten(F.aggregate(chunks, begun, join)["out"])
 
 
-def _sum_term(count: Column) -> Column:
-    """``c log2 c``, 0 for no occurrence."""
-    return F.when(count > 0, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+def blanked(run: Column) -> Column:
+    """``run`` with as many blanks in place of what the allow-list matches."""
+    for pattern, size in zip(ALLOWED, ALLOWED_SIZES, strict=True):
+        run = F.regexp_replace(run, pattern, BLANK * size)
+    parts = F.regexp_extract_all(run, F.lit("[A-Za-z0-9]+|[^A-Za-z0-9]+"), F.lit(0))
+    plain = F.transform(
+        parts, lambda p: F.when(p.rlike("^(?:[A-Za-z]+|[0-9]+)$"), F.repeat(F.lit(BLANK), F.length(p))).otherwise(p)
+    )
+    return F.array_join(plain, "")
 
 
-def peak_entropy(run: Column, alphabet: str, width: int) -> Column:
-    """The largest entropy in bits of any window of ``width`` characters of ``run``."""
-    letters = F.array(*map(F.lit, alphabet))
-    first = F.substring(run, 1, width)
-    counts = F.transform(letters, lambda a: F.length(first) - F.length(F.replace(first, a, F.lit(""))))
-    total = F.aggregate(counts, F.lit(0.0), lambda s, c: s + _sum_term(c))
-    begun = F.struct(counts.alias("counts"), total.alias("total"), total.alias("least"))
+def reaches(segment: Column, run: RandomRun) -> Column:
+    """Whether some window of ``segment`` has the entropy of ``run``; stops at the first piece that has one."""
+    # The look-ahead takes the windows that begin in a piece, the match itself goes on by the piece.
+    cut = rf"(?=(.{{1,{PIECE + run.width - 1}}})).{{1,{PIECE}}}"
+    return F.exists(F.regexp_extract_all(segment, F.lit(cut), F.lit(1)), lambda piece: _piece_reaches(piece, run))
 
-    def count_of(counts: Column, index: Column) -> Column:
-        return F.element_at(counts, index)
 
-    def step(state: Column, i: Column) -> Column:
-        gone = F.instr(F.lit(alphabet), F.substr(run, i, F.lit(1)))
-        come = F.instr(F.lit(alphabet), F.substr(run, i + width, F.lit(1)))
-        less = count_of(state["counts"], gone)
-        more = count_of(state["counts"], come)
-        changed = F.when(gone == come, state["total"]).otherwise(
-            state["total"] - _sum_term(less) + _sum_term(less - 1) - _sum_term(more) + _sum_term(more + 1)
-        )
-        moved = F.transform(
-            state["counts"],
-            lambda c, k: c + (k + 1 == come).cast("int") - (k + 1 == gone).cast("int"),
+def _piece_reaches(piece: Column, run: RandomRun) -> Column:
+    letters = F.regexp_extract_all(piece, F.lit("."), F.lit(0))
+    codes = F.transform(letters, lambda c: F.instr(F.lit(run.alphabet), c))
+    first = F.substring(piece, 1, run.width)
+    counts = F.transform(
+        F.array(*map(F.lit, run.alphabet)), lambda a: F.length(first) - F.length(F.replace(first, a, F.lit("")))
+    )
+    terms = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(run.width + 2)))
+
+    def term(count: Column) -> Column:
+        return F.element_at(terms, count + 1)
+
+    def high(total: Column) -> Column:
+        return F.round(F.lit(math.log2(run.width)) - total / run.width, 9) >= run.bits
+
+    def changed(counts: Column, code: Column, by: int) -> Column:
+        return F.concat(
+            F.slice(counts, F.lit(1), code - 1),
+            F.array(F.element_at(counts, code) + by),
+            F.slice(counts, code + 1, F.lit(len(run.alphabet))),
         )
+
+    def scan(named: Column) -> Column:
+        codes = named["codes"]
+        total = F.aggregate(named["counts"], F.lit(0.0), lambda s, c: s + term(c))
+
+        def step(state: Column, i: Column) -> Column:
+            gone, come = F.element_at(codes, i), F.element_at(codes, i + run.width)
+            less, more = F.element_at(state["counts"], gone), F.element_at(state["counts"], come)
+            moved = state["total"] - term(less) + term(less - 1) - term(more) + term(more + 1)
+            following = F.struct(
+                changed(changed(state["counts"], gone, -1), come, 1).alias("counts"),
+                moved.alias("total"),
+                high(moved).alias("high"),
+            )
+            return F.when(state["high"] | (gone == come), state).otherwise(following)
+
+        begun = F.struct(named["counts"].alias("counts"), total.alias("total"), high(total).alias("high"))
+        steps = F.when(F.size(codes) > run.width, F.sequence(F.lit(1), F.size(codes) - run.width))
+        return F.aggregate(F.coalesce(steps, F.array().cast("array<int>")), begun, step)["high"]
+
+    # A transform over one element names values that are used many times.
+    named = F.array(F.struct(codes.alias("codes"), counts.alias("counts")))
+    varied = F.size(F.array_distinct(letters)) >= math.ceil(2**run.bits - 1e-9)
+    long_enough = F.length(piece) >= run.width
+    return F.when(long_enough & varied, F.element_at(F.transform(named, scan), 1)).otherwise(F.lit(False))
+
+
+def _segments(places: Column, run: RandomRun) -> Column:
+    """``(start, end)`` of the segments of high entropy in each run of ``(start, part)``."""
+
+    def within(place: Column) -> Column:
+        def named(found: Column) -> Column:
+            zipped = F.zip_with(
+                found, _positions(found), lambda x, p: F.struct(p["start"].alias("start"), p["end"].alias("end"), x["part"].alias("part"))
+            )
+            kept = F.filter(zipped, lambda x: F.when(F.length(x["part"]) >= run.width, reaches(x["part"], run)).otherwise(False))
+            return F.transform(
+                kept,
+                lambda x: F.struct((place["start"] + x["start"]).alias("start"), (place["start"] + x["end"]).alias("end")),
+            )
+
+        shown = blanked(F.lower(place["part"]) if run.fold else place["part"])
+        return F.element_at(F.transform(F.array(_places(shown, SEGMENT)), named), 1)
+
+    return F.flatten(F.transform(places, within))
+
+
+def _largest_so_far(values: Column) -> Column:
+    """The running maximum of an array, in chunks as in ``_positions``."""
+
+    def local(chunk: Column) -> Column:
+        begun = F.struct(F.lit(-1).alias("most"), F.array().cast("array<int>").alias("out"))
+
+        def step(state: Column, x: Column) -> Column:
+            most = F.greatest(state["most"], x)
+            return F.struct(most.alias("most"), F.array_append(state["out"], most).alias("out"))
+
+        return F.aggregate(chunk, begun, step)
+
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int")),
+        lambda i: local(F.slice(values, i * CHUNK + 1, CHUNK)),
+    )
+    begun = F.struct(F.lit(-1).alias("most"), F.array().cast("array<array<int>>").alias("out"))
+
+    def join(state: Column, x: Column) -> Column:
+        raised = F.transform(x["out"], lambda v: F.greatest(v, state["most"]))
         return F.struct(
-            moved.alias("counts"), changed.alias("total"), F.least(state["least"], changed).alias("least")
+            F.greatest(state["most"], x["most"]).alias("most"), F.array_append(state["out"], raised).alias("out")
         )
 
-    steps = F.when(F.length(run) > width, F.sequence(F.lit(1), F.length(run) - width)).otherwise(
-        F.array().cast("array<int>")
+    return F.flatten(F.aggregate(chunks, begun, join)["out"])
+
+
+def _outside(base: Column, added: Column) -> Column:
+    """Both kinds of spans by start, without the ``added`` ones that lie inside one of ``base``."""
+
+    def sifted(both: Column) -> Column:
+        ends = F.transform(both, lambda s: F.when(s["rank"] < len(KINDS) - 1, s["end"]).otherwise(-1))
+
+        def kept(reach: Column) -> Column:
+            return F.filter(
+                both, lambda s, i: (s["rank"] < len(KINDS) - 1) | (F.element_at(reach, i + 1) < s["end"])
+            )
+
+        return F.element_at(F.transform(F.array(_largest_so_far(ends)), kept), 1)
+
+    sorted_spans = F.array_sort(F.concat(base, added))
+    return F.when((F.size(base) > 0) & (F.size(added) > 0), F.element_at(F.transform(F.array(sorted_spans), sifted), 1)).otherwise(
+        sorted_spans
     )
-    end = F.aggregate(steps, begun, step)
-    return F.round(F.lit(math.log2(width)) - end["least"] / width, 9)
 
 
 def _typed(pairs: Column, rank: int) -> Column:
@@ -184,35 +286,23 @@ def find_secrets(df: DataFrame, text: str = "text", runs: tuple[RandomRun, ...]
         found.append((column, rank))
     for (column, rank), run in zip(found, (None, None, None, *runs), strict=True):
         places = F.col(column)
-        pairs = F.when(F.size(places) > 0, _positions(places)).otherwise(F.array().cast(f"array<{PAIR}>"))
         # The last gap has no match, so its end is the end of the text.
         zipped = F.zip_with(
-            places, pairs, lambda x, p: F.struct(p["start"].alias("start"), p["end"].alias("end"), x["part"].alias("part"))
+            places,
+            _positions(places),
+            lambda x, p: F.struct(p["start"].alias("start"), p["end"].alias("end"), x["part"].alias("part")),
         )
-        kept = F.filter(zipped, lambda x: x["part"].isNotNull() & _passes(x["part"], column, run))
-        out = out.withColumn(column, F.when(F.size(places) > 0, _typed(kept, rank)).otherwise(nothing))
+        least = ASSIGN_CHARS if column == "__assign" else 0
+        kept = F.filter(zipped, lambda x: x["part"].isNotNull() & (F.length(x["part"]) >= least))
+        pairs = kept if run is None else _segments(kept, run)
+        out = out.withColumn(column, F.when(F.size(places) > 0, _typed(pairs, rank)).otherwise(nothing))
     base = F.array_sort(F.concat(F.col("__assign"), F.col("__access"), F.col("__hex")))
     out = out.withColumn("base_spans", base)
     added = F.array_distinct(F.concat(nothing, *(F.col(c) for c, rank in found if rank == 3)))
-    fresh = F.filter(
-        added,
-        lambda s: ~F.exists(F.col("base_spans"), lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])),
-    )
-    out = out.withColumn("all_spans", F.array_sort(F.concat(F.col("base_spans"), fresh)))
+    out = out.withColumn("all_spans", _outside(F.col("base_spans"), added))
     return out.drop(*(c for c, _ in found))
 
 
-def _passes(part: Column, column: str, run: RandomRun | None) -> Column:
-    if run is None:
-        return F.length(part) >= ASSIGN_CHARS if column == "__assign" else F.lit(True)
-    harmless = F.lit(False)
-    for pattern in ALLOWED:
-        harmless = harmless | part.rlike(pattern)
-    mixed = part.rlike("[0-9]") & part.rlike("[A-Za-z]")
-    folded = F.lower(part) if run.fold else part
-    return F.when(mixed & ~harmless, peak_entropy(folded, run.alphabet, run.width) >= run.bits).otherwise(False)
-
-
 def secret_report(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts of the base kinds, the digest of the base spans, and all spans as text."""
     found = find_secrets(df.select(F.col(key).alias("row_key"), F.col(text).alias("body")), "body")

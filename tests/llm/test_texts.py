@@ -177,10 +177,38 @@ def brute_peak(run, width):
     return round(best, 9)
 
 
+def brute_segments(text):
+    """Segments of the runs between blanks, by plain loops over all windows."""
+    found = set()
+    for letters, width, bits, fold in (("A-Za-z0-9+/_-", 20, 3.8, False), ("0-9A-F", 16, 3.0, True)):
+        for run in re.finditer(f"[{letters}]{{20,}}", text):
+            shown = run[0].lower() if fold else run[0]
+            blank = [False] * len(shown)
+            uuid = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+            for pattern in (uuid, "example", "sample", "placeholder", "dummy", "changeme", "x{8}", "0{8}", "12345678"):
+                now = "".join(" " if b else c for c, b in zip(shown, blank, strict=True))
+                for m in re.finditer(pattern, now, re.I):
+                    blank[m.start() : m.end()] = [True] * len(m[0])
+            now = "".join(" " if b else c for c, b in zip(shown, blank, strict=True))
+            for m in re.finditer("[A-Za-z0-9]+", now):
+                if m[0].isalpha() or m[0].isdigit():
+                    blank[m.start() : m.end()] = [True] * len(m[0])
+            now = "".join(" " if b else c for c, b in zip(shown, blank, strict=True))
+            at = 0
+            for piece in now.split(" "):
+                core = piece.strip("+/_-")
+                start = run.start() + at + piece.find(core) if core else 0
+                if len(core) >= width and brute_peak(core, width) >= bits:
+                    found.add((start, start + len(core)))
+                at += len(piece) + 1
+    return found
+
+
 def test_secrets_agree_with_a_plain_scan(spark):
     rng = random.Random(5)
     bits = ["password=", "Token : '", 'api_key="', "secret", " ", "AKIA", "ABCDEFGH01234567", "deadbeef", "0123456789abcdef",
-            "token: token: abcdefghijklmnop", "é😀", "\n", "zZ9-_x", "passwd=short ", "qT7vX2mK9pL4wR8sN3bY6", "AKIAAKIA", "=", "."]
+            "token: token: abcdefghijklmnop", "é😀", "\n", "zZ9-_x", "passwd=short ", "sample-app/keys/", "550e8400-e29b-41d4-a716-446655440000",
+            "2023-01-02-some-title", "k3J9x12345678Qw", "A1B2C3D4E5F60718", "hF8kQ2zR7mW4tY9c", "/", "EXAMPLE", "qT7vX2mK9pL4wR8sN3bY6", "AKIAAKIA", "=", "."]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 120))) for _ in range(150)]
     texts += ["token=abcdefghijkl " * 300, "", None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
@@ -191,19 +219,38 @@ def test_secrets_agree_with_a_plain_scan(spark):
         shown = [f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base]
         assert r.base_sha256 == hashlib.sha256(",".join(shown).encode()).hexdigest()
         extra = [s for s in r.spans.split(",") if s.startswith("entropy")]
-        wanted = set()
-        for run in secrets.RUNS:
-            for m in re.finditer(run.pattern, text):
-                part = m[0].lower() if run.fold else m[0]
-                mixed = re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
-                allowed = any(re.search(p, m[0]) for p in secrets.ALLOWED)
-                inside = any(a <= m.start() and m.end() <= b for a, _, b in base)
-                if mixed and not allowed and not inside and brute_peak(part, run.width) >= run.bits:
-                    wanted.add(f"entropy:{m.start()}:{m.end()}")
+        wanted = {f"entropy:{a}:{b}" for a, b in brute_segments(text) if not any(c <= a and b <= d for c, _, d in base)}
         assert set(extra) == wanted
         assert [s for s in r.spans.split(",") if s and not s.startswith("entropy")] == shown
 
 
+KEY = "wJalrXUtn5FEMI3K7MDENG2bPxRfiCYzQ8vT4hLs"
+
+
+def test_keys_behind_allowed_words_are_found(spark):
+    half = "q" + KEY[::-1][:25] + "12345678" + KEY
+    slug = "how-to-grow-tomatoes-2023"
+    texts = [f"see sample-app/keys/{KEY} here", half, slug, "550e8400-e29b-41d4-a716-446655440000", "Ab1" + KEY[3:] + "99",
+             "abcdefghijklmnopqrstuvwx" + "1234", "a/path/to/some/file/name/2023/12/report"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in secrets.secret_report(df).collect()}
+    assert found == {0: "entropy:20:60", 1: "entropy:0:26,entropy:34:74", 2: "", 3: "", 4: "entropy:0:42", 5: "entropy:0:28", 6: ""}
+
+
+def test_very_long_runs_are_scanned_in_linear_time(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["ab-" * 400_000 + "x9", "".join(rng.choice(letters) for _ in range(1_000_000)), "z1" * 500_000, "a1-" * 300_000 + KEY,
+             ("/" + KEY + " ") * 2_000, ("token=" + KEY + " ") * 5_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    found = {r.doc_id: r.spans for r in secrets.secret_report(df).collect()}
+    # Lengths and counts only: a failed comparison of such texts would take longer than the scan.
+    assert (len(found[0]), len(found[2]), found[3][:40]) == (0, 0, f"entropy:0:{len(texts[3])}")
+    covered = sum(int(s.split(":")[2]) - int(s.split(":")[1]) for s in found[1].split(","))
+    assert covered > 0.9 * len(texts[1])
+    assert (found[4].count("entropy"), found[5].count("assign"), found[5].count("entropy")) == (2_000, 5_000, 0)
+
+
 def test_redaction_leaves_the_rest(spark, odd, none):
     text = "a token=0123456789abcdef0123 b qT7vX2mK9pL4wR8sN3bY6 c"
     df = spark.createDataFrame([(1, text), (2, "clean"), (3, None)], "doc_id long, text string")
