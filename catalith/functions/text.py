@@ -147,17 +147,16 @@ def ngrams(tokens: Column, n_max: int = 2) -> Column:
     return grams
 
 
-def letter_trigrams(col: Column) -> Column:
-    """Every overlapping run of three characters of the lower-cased letters.
+def letters(col: Column) -> Column:
+    """The lower-cased letters between ``_``, which stands for anything else and for both ends."""
+    found = F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), r"[^\p{L}]+", "_")
+    return F.concat(F.lit("_"), F.btrim(found, F.lit("_")), F.lit("_"))
 
-    Anything but a letter becomes one ``_``, so runs also mark word borders.
-    """
-    letters = F.regexp_replace(
-        F.lower(F.coalesce(col, F.lit(""))), r"(?:[^\p{L}]|[\x{10000}-\x{10FFFF}])+", "_"
-    )
-    padded = F.concat(F.lit("_"), F.btrim(letters, F.lit("_")), F.lit("_"))
-    # The look-ahead makes matches overlap and keeps the scan linear.
-    return F.regexp_extract_all(padded, F.lit("(?=(...))"), F.lit(1))
+
+def letter_trigrams(col: Column) -> Column:
+    """Every overlapping run of three characters of :func:`letters`, which also marks word borders."""
+    # The look-ahead makes matches overlap; each match takes one code point, so the scan is linear.
+    return F.regexp_extract_all(letters(col), F.lit("(?=(...))."), F.lit(1))
 
 
 def json_list(col: Column) -> Column:

@@ -173,8 +173,11 @@ def model_tfidf(docs, max_df):
     return out
 
 
-@pytest.mark.parametrize("task_rows", [0, 1000])
-def test_tfidf_with_hot_terms_and_bigrams(spark, monkeypatch, task_rows):
+@pytest.mark.parametrize(("limit", "task_rows"), [(64 << 20, 0), (0, 0), (0, 1000)])
+def test_tfidf_with_hot_terms_and_bigrams(spark, monkeypatch, limit, task_rows):
+    """Terms sent to the tasks, looked up with hot ones apart, and joined."""
+    monkeypatch.setattr("catalith.operators.terms.BROADCAST_BYTES", limit)
+    monkeypatch.setattr("catalith.operators.terms._TOKENS", 15)
     monkeypatch.setattr("catalith.operators.lookup.HOT_ROWS", 4)
     monkeypatch.setattr("catalith.operators.lookup.TASK_ROWS", task_rows)
     rng = np.random.default_rng(3)
@@ -197,6 +200,29 @@ def test_tfidf_with_hot_terms_and_bigrams(spark, monkeypatch, task_rows):
     assert {best[0, 1], best[0, 2], best[0, 3]} == {"pair", "planted", "planted pair"}
 
 
+def test_terms_of_odd_rows(spark):
+    """Rows without a text, of one token, and that share an id or have none."""
+    texts = [("a", None), ("a", "one two one two"), (None, "two three"), (None, "one"), ("b", ""), ("b", "x1 x1 x1")]
+    corpus = spark.createDataFrame([(0, i, t) for i, t in texts], "cluster_id int, item_id string, text string")
+    counts = sorted((r.item_id or "", r.term, r.tf) for r in terms.term_counts(corpus, ["item_id"], ngram_max=3).collect())
+    assert counts == sorted([
+        ("a", "one", 2), ("a", "two", 2), ("a", "one two", 2), ("a", "two one", 1), ("a", "one two one", 1), ("a", "two one two", 1),
+        ("", "two", 1), ("", "three", 1), ("", "two three", 1), ("", "one", 1), ("b", "x1", 3), ("b", "x1 x1", 2), ("b", "x1 x1 x1", 1),
+    ])
+    weights = terms.tfidf(corpus).groupBy("item_id", F.lit(1)).agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
+    # Each row has a norm of its own, also where the id repeats or is null.
+    assert {r.item_id: round(r.n, 9) for r in weights} == {"a": 1.0, None: 2.0, "b": 1.0}
+    assert terms.tfidf(corpus.limit(0)).count() == 0 and terms.cluster_terms(corpus.limit(0)).count() == 0
+
+
+def test_one_shuffle_of_terms(spark):
+    """Neither tokens nor terms are shuffled by item."""
+    corpus = spark.createDataFrame([(0, "a", "one two")], "cluster_id int, item_id string, text string")
+    plan = terms.cluster_terms(corpus)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "hashpartitioning(item_id" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2  # by cluster and term, and the top terms by cluster
+
+
 def test_grid_and_best_trial(spark):
     assert plans.parameter_grid([4, 6]) == [
         (4, 2.0, 1.0, 0.5), (4, 2.0, 1.0, 0.0), (4, 2.0, 1.5, 0.5), (4, 2.0, 1.5, 0.0),
