@@ -67,10 +67,16 @@ def clear_materialized(spark: SparkSession) -> int:
     return len(paths)
 
 
+# Bytes of a scan that one core takes without harm.
+SPLIT_BYTES = 16 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its input has fewer splits than there are.
+    """``df`` over all cores when it is estimated to be too small to have a split for each.
 
-    Large inputs have more splits and stay as they are.
+    The estimate is the planner's, so nothing runs for it. Large inputs have more
+    splits and stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
