@@ -49,6 +49,8 @@ BLOCK = 192
 BLOCK_SHINGLES = 1 << 21
 #: A pair at 0.8 shares 51 of 64 tokens on average; fewer than 38 has a probability of 5e-5.
 SHARED = 38
+#: SHARED, DEPTH and TREES find pairs of this similarity and above; below it they would lose links.
+LEAST_PERCENT = 80
 #: Rows of keys and hashes, of about 100 bytes each, that are sent to every executor.
 BROADCAST_ROWS = 200_000
 
@@ -337,6 +339,8 @@ def _grouped(df: DataFrame, key: str, text: str, width: int, percent: int, broad
 
     ``first`` is the first row of the component by key and text, null without words.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"trees and sketches are laid out for {LEAST_PERCENT} to 100 percent, not {percent}")
     docs = df.select(F.col(key).alias("row_key"), F.col(text).cast("string").alias("body")).select(
         "*", F.xxhash64("body").alias("text_hash")
     )
@@ -383,6 +387,7 @@ def near_duplicates(
 
     Sets are linked where ``100 * common >= percent * all``; ``component_id`` is
     the least key that can be reached, and ``kept`` tells that it is the own one.
+    A ``percent`` below ``LEAST_PERCENT`` is refused.
     """
     found = _grouped(df, key, text, width, percent, broadcast_rows)
     component = F.when(F.col("digest").isNull(), F.col("row_key")).otherwise(F.col("first.row_key"))

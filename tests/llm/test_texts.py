@@ -159,6 +159,14 @@ def test_shingles_of_a_text_in_blocks(monkeypatch):
     assert len(whole) == len({tuple(text.split()[i : i + 3]) for i in range(5998)})
 
 
+@pytest.mark.parametrize("percent", [0, 55, 79, 101])
+def test_similarities_that_would_lose_links_are_refused(none, percent):
+    with pytest.raises(ValueError):
+        near_text.near_duplicates(none, percent=percent)
+    with pytest.raises(ValueError):
+        near_text.one_of_each(none, percent=percent)
+
+
 def brute_spans(text):
     found = []
     for m in re.finditer(secrets.ASSIGN.replace(r"(?i)", ""), text, re.I | re.A):
