@@ -1,7 +1,10 @@
 """Encoding to vocabulary pieces by streaming Viterbi, and decoding.
 
-The vocabulary is a list of pieces with scores. The encoding of a text is the
-segmentation with the largest sum of scores; of equal sums, the one whose last
+The vocabulary is a list of pieces with scores, which are log-probabilities. A model
+made by merges has the order of its merges instead; a piece of rank r then gets the
+probability ``1 / (r + OFFSET)``, over the sum of all, by the law of Zipf and Mandelbrot,
+so nothing is trained. The encoding of a text is the segmentation with the largest sum
+of scores; of equal sums, the one whose last
 piece is shorter, decided at each boundary. A space is written as U+2581 and one
 is put before the text. A character without a piece, and U+2581 itself, is
 written as its UTF-8 bytes, each of which is a piece, at the score of the worst
@@ -25,6 +28,7 @@ executors, at most ``VOCABULARY_BYTES``.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -41,6 +45,8 @@ SPACE = "▁"
 # Stands for a literal U+2581 of the text; no valid text holds a lone surrogate.
 LITERAL = "\ud800"
 PENALTY = 10.0
+#: Of the law that turns ranks of merges into probabilities.
+OFFSET = 2.7
 #: Encodings that a task remembers, and the longest part for which it does.
 REMEMBERED = 300_000
 SHORT = 48
@@ -68,6 +74,8 @@ class Vocabulary:
         if sum(len(p.encode()) for p in self.pieces) > VOCABULARY_BYTES:
             raise ValueError("the vocabulary is too large to send to every executor")
         text = [i for i, plain in enumerate(self.plain) if plain]
+        if any(i >= 0 for i in self.bytes_) and min(self.bytes_) < 0:
+            raise ValueError("the vocabulary has pieces for some bytes only")
         self.ids = {self.pieces[i]: i for i in text}
         self.longest = max((len(self.pieces[i]) for i in text), default=1)
         # Scores far below all others only mark pieces that another tokenizer builds from parts.
@@ -90,7 +98,16 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
         if model.is_byte(i):
             bytes_[int(BYTE.match(piece)[1], 16)] = i
     plain = [not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) for i in range(n)]
-    return Vocabulary(pieces, [model.get_score(i) for i in range(n)], plain, bytes_)
+    return Vocabulary(pieces, log_probabilities([model.get_score(i) for i in range(n)], plain), plain, bytes_)
+
+
+def log_probabilities(scores: list[float], plain: list[bool]) -> list[float]:
+    """``scores``, or, if those of the plain pieces are the ranks of merges, log-probabilities by rank."""
+    usual = [s for s, p in zip(scores, plain, strict=True) if p and s > -1e8]
+    if not usual or len(set(usual)) < len(usual) or any(s > 0 or s != int(s) for s in usual):
+        return scores
+    total = math.log(sum(1 / (OFFSET - s) for s in usual))
+    return [-math.log(OFFSET - s) - total if p and s > -1e8 else s for s, p in zip(scores, plain, strict=True)]
 
 
 class Stream:

@@ -285,3 +285,26 @@ def test_run_writes_between_stages(spark, monkeypatch):
         assert files and all(f.startswith("catalith-") for f in files)
     wanted = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id % 2 = 0").count()
     assert found.count() == wanted and set(seen[1]).isdisjoint(seen[2])
+
+
+def test_ids_are_no_longer_than_those_of_the_merges():
+    """Ranks of merges become probabilities; a vocabulary with probabilities keeps its own."""
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    texts = pq.read_table(f"{FOLDER}/documents.parquet")["text"].to_pylist()
+    encoder = pieces.Encoder(pieces.load_vocabulary())
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    own, theirs, equal = 0, 0, 0
+    for text in texts:
+        ids, other = encoder.encode(text).tolist(), model.encode(text)
+        assert encoder.decode(ids) == text
+        own, theirs, equal = own + len(ids), theirs + len(other), equal + (ids == other)
+    assert own <= 1.02 * theirs, (own, theirs, equal)
+    assert pieces.log_probabilities([-1.5, -2.0], [True, True]) == [-1.5, -2.0]
+    assert sum(math.exp(s) for s in pieces.log_probabilities([-3.0, -1.0, 0.0], [True] * 3)) == pytest.approx(1.0)
+
+
+def test_a_vocabulary_needs_all_bytes_or_none():
+    with pytest.raises(ValueError):
+        pieces.Vocabulary(["a"], [-1.0], [True], [0] + [-1] * 255)
