@@ -1,19 +1,28 @@
-"""Fingerprints of documents as Merkle trees over sections and paragraphs.
+"""Fingerprints of documents as Merkle trees over sections, paragraphs and spans.
 
 A text is cut into sections at blank lines, a section into paragraphs at line
-breaks, and a paragraph into spans of at most ``SPAN`` code points. The parts
-and their numbers tell the whole text. A paragraph's digest is the MD5 of its
-text, a section's the MD5 of its paragraphs' digests, and the root the SHA-256
-of the sections' digests: equal roots mean equal texts. ``differing`` walks down
-only where digests differ. ``likeness`` is the Dice coefficient of the hashes of
-the distinct spans, so a part of a paragraph counts where the rest was edited.
+breaks, and a paragraph into spans by its content: a span ends after a word in one
+of the letters ``CUTS``, or after ``LONGEST`` code points, so an inserted character
+changes the spans around it and no others. The leaves are the spans' digests, the
+first 16 digits of their MD5. A paragraph's digest is the MD5 of its leaves, a
+section's the MD5 of its paragraphs' digests, and the root the SHA-256 of the
+sections' digests: equal texts have equal roots, and roots of unlike texts agree only
+if digests collide.
+
+``likeness`` and ``differing`` walk two trees from the top and enter only branches
+that the other tree does not have, wherever it has them: sections, then the
+paragraphs of the sections that are left, then the leaves of the paragraphs that are
+left. The likeness is the Dice coefficient of the leaves found equal on the way.
+Branches are compared as the text of all leaves below them by hashed sets, so a walk is
+linear in both trees.
 
 Everything is a column expression. Neighbours in the order of the keys come from
 a range partitioning of the thin keys and one table row per partition; texts are
 joined on the key, and only the part of the next text that is used is sent.
 
 Defined cases: a null text reads as empty; the empty text is one section of one
-empty paragraph without spans, and two of them have a likeness of 1. Null keys
+empty paragraph without spans. Two trees without spans have a likeness of 1 if they are
+equal and 0 otherwise. Null keys
 are the last in descending order. Rows that repeat key and text stand as one in
 the order, and each of them gets the same result. A single document is its own
 next one. Only key and text are read.
@@ -21,22 +30,41 @@ next one. Only key and text are read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from catalith.session import materialize
 
-SPAN = 16
+# Letters that end a span before a blank, and the most code points of one.
+CUTS = "ds"
+LONGEST = 128
+SPAN = rf"[^\n]{{0,{LONGEST - 2}}}?[{CUTS}] |[^\n]{{1,{LONGEST}}}"
+LEAF = 16
+
+
+def _joined_leaves(paragraph: Column) -> Column:
+    spans = F.regexp_extract_all(paragraph, F.lit(SPAN), F.lit(0))
+    return F.array_join(F.transform(spans, lambda x: F.substring(F.md5(x), 1, LEAF)), ",")
 
 
 def tree(text: Column) -> Column:
-    """Sections as arrays of paragraph digests."""
-    return F.transform(F.split(text, "\n\n", -1), lambda s: F.transform(F.split(s, "\n", -1), lambda p: F.md5(p)))
+    """One text per section: leaves parted by ``,``, paragraphs by ``;``."""
+
+    def section(part: Column) -> Column:
+        return F.array_join(F.transform(F.split(part, "\n", -1), _joined_leaves), ";")
+
+    return F.transform(F.split(text, "\n\n", -1), section)
+
+
+def _paragraphs(section: Column) -> Column:
+    return F.split(section, ";", -1)
 
 
 def section_digests(nodes: Column) -> Column:
-    return F.transform(nodes, lambda paragraphs: F.md5(F.array_join(paragraphs, ",")))
+    return F.transform(nodes, lambda s: F.md5(F.array_join(F.transform(_paragraphs(s), lambda p: F.md5(p)), ",")))
 
 
 def root(nodes: Column) -> Column:
@@ -44,38 +72,78 @@ def root(nodes: Column) -> Column:
     return F.sha2(F.array_join(section_digests(nodes), ","), 256)
 
 
-def spans(text: Column) -> Column:
-    """Hashes of the distinct spans, the lowest level of the tree."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{SPAN}}}|\n"), F.lit(0))
-    return F.array_distinct(F.transform(pieces, lambda p: F.hash(p)))
+def _leaf_count(branches: Column) -> Column:
+    """How many leaves lie below the branches."""
+
+    def below(branch: Column) -> Column:
+        return F.length(F.translate(branch, ",;", "")) / LEAF
+
+    return F.aggregate(branches, F.lit(0.0), lambda n, branch: n + below(branch))
+
+
+def _children(branches: Column, mark: str) -> Column:
+    return F.array_remove(F.array_distinct(F.flatten(F.transform(branches, lambda b: F.split(b, mark, -1)))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient of two sets of span hashes; 1 for two empty sets."""
-    both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both)
+    """Dice coefficient of the leaves of two trees, by a walk of the branches that differ."""
+
+    def walk(pair: Column) -> Column:
+        """``(equal, left, right)``: equal leaves, and those of either tree only."""
+
+        def paragraphs(named: Column) -> Column:
+            def leaves(rest: Column) -> Column:
+                common = F.array_intersect(rest["left"], rest["right"])
+                return F.struct(
+                    (rest["equal"] + F.size(common)).alias("equal"),
+                    F.size(F.array_except(rest["left"], rest["right"])).alias("left"),
+                    F.size(F.array_except(rest["right"], rest["left"])).alias("right"),
+                )
+
+            entered = F.struct(
+                (named["equal"] + _leaf_count(F.array_intersect(named["left"], named["right"]))).alias("equal"),
+                _children(F.array_except(named["left"], named["right"]), ",").alias("left"),
+                _children(F.array_except(named["right"], named["left"]), ",").alias("right"),
+            )
+            return _named(entered, leaves)
+
+        entered = F.struct(
+            _leaf_count(F.array_intersect(pair["left"], pair["right"])).alias("equal"),
+            _children(F.array_except(pair["left"], pair["right"]), ";").alias("left"),
+            _children(F.array_except(pair["right"], pair["left"]), ";").alias("right"),
+        )
+        return _named(entered, paragraphs)
+
+    def dice(found: Column) -> Column:
+        total = 2.0 * found["equal"] + found["left"] + found["right"]
+        return F.when(total > 0, 2.0 * found["equal"] / total).otherwise((a == b).cast("double"))
+
+    return _named(_named(F.struct(a.alias("left"), b.alias("right")), walk), dice)
+
+
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: a transform over one element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def differing(a: Column, b: Column) -> Column:
-    """``(section, paragraph)``, from 0, of paragraphs that differ between two trees.
+    """``(section, paragraph)``, from 0, of the paragraphs of ``b`` that its differing sections do not share with ``a``'s.
 
-    A section whose digests agree is not entered. A paragraph that only one tree
-    has counts as differing.
+    Sections that ``a`` has anywhere are not entered, so moved text does not differ.
     """
+    nothing = F.array().cast("array<struct<section:int,paragraph:int>>")
+    new = F.array_except(b, a)
+    mine = F.array_distinct(F.flatten(F.transform(new, _paragraphs)))
+    changed = F.array_except(mine, F.flatten(F.transform(F.array_except(a, b), _paragraphs)))
 
-    def inner(pair: Column, i: Column) -> Column:
-        left = F.coalesce(pair["left"], F.array().cast("array<string>"))
-        right = F.coalesce(pair["right"], F.array().cast("array<string>"))
-        marks = F.zip_with(left, right, lambda x, y: ~x.eqNullSafe(y))
+    def inner(section: Column, i: Column) -> Column:
         places = F.transform(
-            marks, lambda m, j: F.when(m, F.struct(i.alias("section"), j.alias("paragraph")))
-        )
-        return F.when(left == right, F.array().cast("array<struct<section:int,paragraph:int>>")).otherwise(
-            F.filter(places, lambda p: p.isNotNull())
+            _paragraphs(section),
+            lambda p, j: F.when(F.array_contains(changed, p), F.struct(i.alias("section"), j.alias("paragraph"))),
         )
+        return F.when(F.array_contains(new, section), F.filter(places, lambda p: p.isNotNull())).otherwise(nothing)
 
-    pairs = F.zip_with(a, b, lambda x, y: F.struct(x.alias("left"), y.alias("right")))
-    return F.flatten(F.transform(pairs, inner))
+    return F.flatten(F.transform(b, inner))
 
 
 def next_keys(keys: DataFrame) -> DataFrame:
@@ -139,28 +207,28 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
             "for_id",
             "for_hash",
             F.substring("body", F.lit(1), (F.col("n_chars") / 2).cast("int")).alias("start"),
-            spans(F.col("body")).alias("next_spans"),
+            tree(F.col("body")).alias("next_tree"),
         )
         .groupBy("for_id", "for_hash")
-        .agg(F.first("row_key").alias("row_key"), F.first("start").alias("start"), F.first("next_spans").alias("next_spans"))
+        .agg(F.first("row_key").alias("row_key"), F.first("start").alias("start"), F.first("next_tree").alias("next_tree"))
         .withColumnsRenamed({"for_id": "row_id", "for_hash": "row_hash"})
     )
     length = F.length("body")
     edited = F.concat(F.substring("body", F.lit(1), length - (length / 2).cast("int")), F.col("start"))
     both = bodies.join(starts, ["row_id", "row_hash"]).select(
         "row_key",
-        "body",
         length.cast("long").alias("n_chars"),
         edited.alias("edited"),
-        "next_spans",
-        spans(F.col("body")).alias("own_spans"),
+        "next_tree",
+        tree(F.col("body")).alias("own_tree"),
     )
+    both = both.withColumn("edited_tree", tree(F.col("edited")))
     return both.select(
         F.col("row_key").alias(key),
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        root(tree(F.col("body"))).alias("fingerprint"),
-        root(tree(F.col("edited"))).alias("edited_fingerprint"),
-        likeness(F.col("own_spans"), spans(F.col("edited"))).alias("near_edited"),
-        likeness(F.col("own_spans"), F.col("next_spans")).alias("near_next"),
+        root(F.col("own_tree")).alias("fingerprint"),
+        root(F.col("edited_tree")).alias("edited_fingerprint"),
+        likeness(F.col("own_tree"), F.col("edited_tree")).alias("near_edited"),
+        likeness(F.col("own_tree"), F.col("next_tree")).alias("near_next"),
     )

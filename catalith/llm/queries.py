@@ -101,24 +101,49 @@ QUERIES = {
     "op13_url_filter": op13_url_filter,
 }
 
-def _root_sql(text: str) -> str:
-    """The root of the tree: sections at blank lines, paragraphs at line breaks."""
-    paragraphs = r"list_transform(string_split(s, chr(10)), lambda p: md5(p))"
-    sections = (
-        f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: md5(array_to_string({paragraphs}, ',')))"
-    )
-    return f"sha256(array_to_string({sections}, ','))"
+# Fixed value, written apart from the operator's: spans end after a word in d or s, or after 128 code points.
+_SPAN = r"[^\n]{0,126}?[ds] |[^\n]{1,128}"
 
 
-def _spans_sql(text: str) -> str:
-    return rf"list_distinct(regexp_extract_all({text}, '[^\n]{{1,{merkle.SPAN}}}|\n'))"
+def _tree_sql(text: str) -> str:
+    """One text per section: leaves parted by commas, paragraphs by semicolons."""
+    leaves = f"array_to_string(list_transform(regexp_extract_all(p, '{_SPAN}'), lambda x: left(md5(x), 16)), ',')"
+    paragraphs = f"array_to_string(list_transform(string_split(s, chr(10)), lambda p: {leaves}), ';')"
+    return f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: {paragraphs})"
 
 
-def _likeness_sql(a: str, b: str) -> str:
-    return (
-        f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE ELSE "
-        f"2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END"
-    )
+def _root_sql(tree: str) -> str:
+    section = "md5(array_to_string(list_transform(string_split(b, ';'), lambda p: md5(p)), ','))"
+    return f"sha256(array_to_string(list_transform({tree}, lambda b: {section}), ','))"
+
+
+def _without_sql(a: str, b: str) -> str:
+    return f"list_filter(list_distinct({a}), lambda x: NOT list_contains({b}, x))"
+
+
+def _children_sql(branches: str, mark: str) -> str:
+    return f"list_filter(list_distinct(flatten(list_transform({branches}, lambda b: string_split(b, '{mark}')))), lambda x: x <> '')"
+
+
+def _count_sql(branches: str) -> str:
+    return f"coalesce(list_sum(list_transform({branches}, lambda b: length(translate(b, ',;', '')) / 16)), 0)"
+
+
+def _likeness_sql(name: str, source: str, a: str, b: str) -> str:
+    """CTEs that end in ``name(doc_id, near)``: equal sections, paragraphs, leaves, from the top."""
+    return f"""
+{name}_1 AS (
+  SELECT doc_id, {a} = {b} AS same, {_count_sql(f"list_intersect({a}, {b})")} AS equal,
+         {_children_sql(_without_sql(a, b), ";")} AS l, {_children_sql(_without_sql(b, a), ";")} AS r FROM {source}),
+{name}_2 AS (
+  SELECT doc_id, same, equal + {_count_sql("list_intersect(l, r)")} AS equal,
+         {_children_sql(_without_sql("l", "r"), ",")} AS l, {_children_sql(_without_sql("r", "l"), ",")} AS r FROM {name}_1),
+{name}_3 AS (
+  SELECT doc_id, same, equal + len(list_intersect(l, r)) AS equal,
+         len({_without_sql("l", "r")}) + len({_without_sql("r", "l")}) AS apart FROM {name}_2),
+{name} AS (
+  SELECT doc_id, CASE WHEN equal + apart > 0 THEN 2.0::DOUBLE * equal / (2 * equal + apart) ELSE same::INT::DOUBLE END AS near
+  FROM {name}_3)"""
 
 
 MERKLE_SQL = f"""
@@ -130,12 +155,14 @@ ring AS (
 edits AS (
   SELECT *, left(body, n_chars - n_chars // 2) || left(next_body, n_chars // 2) AS edited FROM ring),
 parts AS (
-  SELECT *, {_spans_sql("body")} AS own, {_spans_sql("edited")} AS changed, {_spans_sql("next_body")} AS follows
-  FROM edits)
+  SELECT *, {_tree_sql("body")} AS own, {_tree_sql("edited")} AS changed, {_tree_sql("next_body")} AS follows
+  FROM edits),
+{_likeness_sql("by_edit", "parts", "own", "changed")},
+{_likeness_sql("by_next", "parts", "own", "follows")}
 SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
-       {_root_sql("body")} AS fingerprint, {_root_sql("edited")} AS edited_fingerprint,
-       {_likeness_sql("own", "changed")} AS near_edited, {_likeness_sql("own", "follows")} AS near_next
-FROM parts
+       {_root_sql("own")} AS fingerprint, {_root_sql("changed")} AS edited_fingerprint,
+       by_edit.near AS near_edited, by_next.near AS near_next
+FROM parts JOIN by_edit USING (doc_id) JOIN by_next USING (doc_id)
 """
 
 _FIVE_BITS = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> {}) & 31)::INT + 1, 1)"

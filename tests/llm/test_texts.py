@@ -353,6 +353,52 @@ def test_fingerprints_of_odd_rows(odd, none, spark):
     assert single.near_next == 1.0 and single.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
 
 
+def plain_tree(text):
+    """Sections as tuples of paragraphs, those as tuples of spans."""
+    cut = re.compile("(?:[^\\n]{0,126}?[ds] |[^\\n]{1,128})")
+    return [tuple(tuple(cut.findall(p)) for p in s.split("\n")) for s in text.split("\n\n")]
+
+
+def plain_likeness(a, b):
+    """Equal leaves by plain sets of branches, from the top."""
+
+    def below(branch):
+        return 1 if isinstance(branch, str) else sum(map(below, branch))
+
+    left, right, equal = set(plain_tree(a)), set(plain_tree(b)), 0
+    for _ in range(2):
+        equal += sum(map(below, left & right))
+        left, right = ({c for x in one - other for c in x if c} for one, other in ((left, right), (right, left)))
+    equal, apart = equal + len(left & right), len(left ^ right)
+    return 2 * equal / (2 * equal + apart) if equal + apart else float(plain_tree(a) == plain_tree(b))
+
+
+def test_likeness_walks_the_differing_branches(spark):
+    rng = random.Random(6)
+    words_ = ["roads", "and", "bridges", "of", "the", "old", "town", "é😀s", "x" * 300, "end"]
+    text = "".join(rng.choice(words_) + rng.choice((" ", " ", " ", "\n", "\n\n")) for _ in range(600))
+    pairs = [(text, text), (text, "x" + text), (text, text[:1500] + "!" + text[1500:]), (text, text[::-1]), ("", ""), ("", "\n"),
+             (text, "\n\n".join(reversed(text.split("\n\n")))), ("", text), ("a", "b"), ("s s", "s s\ns s"), (text[:900], text[300:])]
+    line = "".join(rng.choice(words_[:7]) + " " for _ in range(500))[:3000]
+    pairs.append((line, "x" + line))
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    trees = df.select("i", merkle.tree(F.col("a")).alias("a"), merkle.tree(F.col("b")).alias("b"))
+    found = trees.select("i", merkle.likeness(F.col("a"), F.col("b")).alias("near")).collect()
+    assert {r.i: r.near for r in found} == pytest.approx({i: plain_likeness(a, b) for i, (a, b) in enumerate(pairs)})
+    near = {r.i: r.near for r in found}
+    # One inserted character, in front or within, changes what is around it only; moved sections stay equal.
+    assert near[0] == near[4] == near[6] == 1.0 and min(near[1], near[2], near[len(pairs) - 1]) > 0.9
+    assert near[5] == near[7] == near[8] == 0.0
+
+
+def test_trees_of_long_texts_are_walked_in_linear_time(spark):
+    a = "\n".join(f"line {i} of words" for i in range(60_000))
+    b = "\n\n".join(f"part {i}s of words" for i in range(60_000))
+    df = spark.createDataFrame([(1, a), (2, b), (3, "ab" * 500_000)], "doc_id long, text string")
+    found = {r.doc_id: r for r in merkle.edited_fingerprints(df).collect()}
+    assert found[1].near_next == 0.0 and found[2].near_next == 0.0 and found[2].near_edited > 0.5
+
+
 def test_differing_paragraphs(spark):
     a, b = "one\ntwo\n\nthree\nfour\n\nfive", "one\ntwo\n\nthree\nFOUR\nnew\n\nfive"
     row = spark.createDataFrame([(a, b)], "a string, b string").select(
