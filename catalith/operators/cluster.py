@@ -20,8 +20,12 @@ from .pairwise import is_small, tiles, to_matrix
 
 # Largest move of a centroid that counts as none.
 TOLERANCE = 1e-4
-# Rounds in which the start of a fit by tables draws far rows, one at a time while k is small.
+# The start of a fit by tables: rounds of draws, rows drawn in a round for each center, and
+# rounds and steps in which the candidates are clustered.
+ROUNDS = 5
+OVERSAMPLING = 2
 STARTS = 16
+RECLUSTER_STEPS = 5
 # Most batches of one pass of the mini-batch fit.
 PASS_BATCHES = 256
 # Share of its length that a centroid may move in the last pass.
@@ -105,8 +109,7 @@ def kmeans(
 def _fit_table(rows, k, seed, max_iter, metric, n_init, vector_column, limit) -> DataFrame:
     """Lloyd's steps with the centroids as a table: the best of ``n_init`` starts.
 
-    A start spreads ``k`` centers by drawing candidates and keeping, in turn of
-    a few rounds, those that are far from what is kept.
+    A start is that of k-means||, see :func:`_start_table`.
     """
     space = "cosine" if metric == "cosine" else "l2"
     if metric == "cosine":
@@ -132,28 +135,68 @@ def _fit_table(rows, k, seed, max_iter, metric, n_init, vector_column, limit) ->
     return best[1]
 
 
+def _uniform(seed: int) -> F.Column:
+    """A number above 0 and up to 1 for each row, by its id."""
+    return (F.shiftrightunsigned(F.xxhash64("item_id", F.lit(seed)), 11) + 1) / float(1 << 53)
+
+
+def _distances(rows: DataFrame, centers: DataFrame, vector_column: str, limit: int) -> DataFrame:
+    """``rows`` with ``squared``, the squared distance to the nearest center, and its id ``cluster_id``."""
+    named = centers.select(F.col("item_id").alias("cluster_id"), F.col(vector_column).alias("centroid"))
+    hits = attach_nearest(rows, named, 1, "l2", vector_column=vector_column, broadcast_bytes=limit)
+    return hits.withColumn("squared", F.col("score") * F.col("score")).drop("score", "rank")
+
+
 def _start_table(rows, k, seed, space, vector_column, limit) -> DataFrame:
-    """``k`` rows as centers: one by hash, then far ones in a few rounds, then any."""
-    drawn = F.xxhash64("item_id", F.lit(seed))
-    first = rows.orderBy(drawn).limit(1)
-    centers = materialize(first.select("item_id", F.col(vector_column).alias("centroid")))
+    """``k`` centers by k-means||: far rows are drawn in a few rounds, each row for itself with
+    a chance that grows with its squared distance, some ``OVERSAMPLING * k`` a round; each
+    candidate then weighs as many rows as are nearest to it, and the weighted candidates,
+    a small table, are clustered to ``k``.
+    """
+    first = rows.orderBy(_uniform(seed)).limit(1).select("item_id", vector_column)
+    found = materialize(first)
+    for i in range(ROUNDS):
+        gaps = materialize(_distances(rows, found, vector_column, limit))
+        cost = gaps.agg(F.sum("squared")).first()[0]
+        if not cost:
+            break
+        chance = OVERSAMPLING * k * F.col("squared") / cost
+        drawn = gaps.where(_uniform(seed + i + 1) <= chance).select("item_id", vector_column)
+        found = materialize(found.unionByName(drawn))
+    weights = _distances(rows, found, vector_column, limit).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("weight"))
+    weighted = materialize(found.join(weights, F.col("item_id") == F.col("cluster_id")).drop("cluster_id"))
+    centers = _spread_centers(weighted, k, seed, vector_column, limit)
+    for _ in range(RECLUSTER_STEPS):
+        members = _distances(weighted, centers, vector_column, limit)
+        total = F.transform(F.col(vector_column).cast("array<double>"), lambda x: x * F.col("weight"))
+        sums = members.select("cluster_id", "weight", total.alias("total")).groupBy(F.col("cluster_id").alias("item_id")).agg(
+            F.sum("weight").alias("weight"), vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
+        )
+        mean = F.transform("total", lambda x: x / F.col("weight"))
+        if space == "cosine":
+            mean = vectors.normalize(mean)
+        centers = materialize(sums.select("item_id", mean.alias(vector_column)))
+    place = F.row_number().over(Window.orderBy("item_id")) - 1
+    return materialize(
+        centers.select(place.cast("int").alias("cluster_id"), F.col(vector_column).cast("array<double>").alias("centroid"))
+    )
+
+
+def _spread_centers(weighted: DataFrame, k: int, seed: int, vector_column: str, limit: int) -> DataFrame:
+    """``k`` of the candidates, drawn without return by weight and squared distance in a few rounds."""
+    heaviest = weighted.orderBy(F.desc("weight"), "item_id").limit(1)
+    centers = materialize(heaviest.select("item_id", vector_column))
     count = 1
     for i in range(STARTS):
         wanted = k - count if i == STARTS - 1 else min(k - count, math.ceil(k / STARTS))
         if wanted <= 0:
             break
-        named = centers.select(F.col("item_id").alias("cluster_id"), "centroid")
-        hits = attach_nearest(
-            rows, named, 1, "l2", vector_column=vector_column, broadcast_bytes=limit
-        )
-        # Weighted draws without return: the larger the distance, the earlier a row comes.
-        share = (F.shiftrightunsigned(F.xxhash64("item_id", F.lit(seed + i + 1)), 11) + 1) / float(1 << 53)
-        far = hits.where(F.col("score") < 0).withColumn("turn", -F.log(share) / (F.col("score") * F.col("score")))
-        more = far.orderBy("turn").limit(wanted).select("item_id", F.col(vector_column).alias("centroid"))
+        gaps = _distances(weighted, centers, vector_column, limit).where("squared > 0")
+        turn = -F.log(_uniform(seed + 100 + i)) / (F.col("squared") * F.col("weight"))
+        more = gaps.orderBy(turn).limit(wanted).select("item_id", vector_column)
         centers = materialize(centers.unionByName(more))
         count = centers.count()
-    place = F.row_number().over(Window.orderBy("item_id")) - 1
-    return materialize(centers.select(place.cast("int").alias("cluster_id"), F.col("centroid").cast("array<double>")))
+    return centers
 
 
 def _cluster_sums(
@@ -237,9 +280,9 @@ def minibatch_kmeans(
 ) -> DataFrame:
     """Centroids from random batches, each moving the centroids it touches.
 
-    A pass deals all rows to batches of about ``batch_size`` rows, or to
-    ``PASS_BATCHES`` larger ones, and writes them to the shared folder; each round
-    reads only its own batch. There are at most ``max_iter`` passes; the fit ends
+    All rows are dealt once to batches of about ``batch_size`` rows, or to
+    ``PASS_BATCHES`` larger ones, and written to the shared folder; each round
+    reads only its own batch, and each pass takes the batches in another order. There are at most ``max_iter`` passes; the fit ends
     when a whole pass moves no centroid by more than ``SETTLED`` of its length.
     Centroids beyond the broadcast limit are fitted by :func:`kmeans`.
     """
@@ -248,17 +291,15 @@ def minibatch_kmeans(
         return kmeans(catalog, k, seed, max_iter, metric, n_init, vector_column, broadcast_bytes)
     rounds = min(PASS_BATCHES, math.ceil(rows.count() / batch_size))
     space = "cosine" if metric == "cosine" else "l2"
-    centers = None
+    dealt = rows.withColumn("round", F.floor(F.rand(seed) * rounds).cast("int"))
+    batches = materialize(dealt.repartition("round"), ["round"])
+    start = batches.where(F.col("round") < math.ceil(rounds / 4)).drop("round")
+    centers = _fit(start, k, seed, 1, metric, n_init)
+    labels, seen = np.arange(len(centers)), np.zeros(len(centers))
     for step in range(max_iter):
-        dealt = rows.withColumn("round", F.floor(F.rand(seed + step) * rounds).cast("int"))
-        batches = materialize(dealt.repartition("round"), ["round"])
-        if centers is None:
-            start = batches.where(F.col("round") < math.ceil(rounds / 4)).drop("round")
-            centers = _fit(start, k, seed, 1, metric, n_init)
-            labels, seen = np.arange(len(centers)), np.zeros(len(centers))
         before = centers.copy()
-        for i in range(rounds):
-            batch = batches.where(F.col("round") == i)
+        for i in np.random.default_rng(seed + step).permutation(rounds):
+            batch = batches.where(F.col("round") == int(i))
             sums = _cluster_sums(batch, labels, _unit(centers, metric), space, vector_column)
             for row in sums.collect():
                 c = row["cluster_id"]

@@ -253,3 +253,42 @@ def test_squared_silhouette_of_single_items(spark):
     assert (found["n"], found["clusters"]) == (3, 2)
     assert found["silhouette"] == pytest.approx(((16 - 4) / 16 + (20 - 4) / 20 + 0) / 3)
     assert quality.silhouette_squared(assigned.where("cluster_id = 0")).first()["silhouette"] == -1.0
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_a_fit_by_tables_costs_no_more_than_a_fit_in_memory(spark, metric):
+    """Planted groups with far outliers: within a tenth of the cost of the library's fit."""
+    _, labels, x = planted(8, 30, noise=0.15)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([x, 3 * rng.normal(size=(6, x.shape[1]))]).astype(np.float32)
+    catalog = table(spark, [f"i{i}" for i in range(len(x))], np.append(labels, [9] * 6), x)
+
+    def cost(centroids):
+        c = np.array([r["centroid"] for r in centroids.collect()])
+        y = x.astype(float)
+        if metric == "cosine":
+            y, c = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (y, c))
+        assert len(c) == 10
+        return ((y[:, None] - c[None]) ** 2).sum(2).min(1).sum()
+
+    in_memory = min(cost(cluster.kmeans(catalog, 10, seed=s, metric=metric, max_iter=20)) for s in (1, 2))
+    by_tables = cost(cluster.kmeans(catalog, 10, seed=3, metric=metric, max_iter=8, broadcast_bytes=1))
+    assert by_tables <= 1.1 * in_memory
+
+
+def test_the_best_trial_is_fitted_again(spark):
+    """Vectors of certain groups: the clusters of the best trial are those it was measured on."""
+    _, labels, x = planted(4, 10, noise=0.02)
+    ids = [f"i{i}" for i in range(len(x))]
+    made = table(spark, ids, labels, x)
+    grid = [(2, 2.0, 1.0, 0.5), (4, 2.0, 1.0, 0.5)]
+    options = {"make_catalog": lambda views, weights: made, "max_iter": 10, "n_init": 2}
+    trials = plans.tune(made, grid, silhouette="squared", **options)
+    exact = plans.tune(made, grid, **options)
+    assert plans.best_trial(trials).first()["k"] == plans.best_trial(exact).first()["k"] == 4
+    assignments, centroids = plans.best_clusters(made, trials, **options)
+    assert centroids.count() == 4
+    pairs = {(r["group_id"], r["cluster_id"]) for r in assignments.collect()}
+    assert len(pairs) == 4 and assignments.count() == len(ids)
+    with pytest.raises(ValueError, match="silhouette"):
+        plans.tune(made, grid, silhouette="none", **options)
