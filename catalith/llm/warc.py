@@ -255,12 +255,14 @@ def _reader(with_payload: bool, rows: int = 1000):
              ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]
         )
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, records in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 system, name = fs.FileSystem.from_uri(path)
                 with system.open_input_stream(name, compression=None) as source:
                     found = []
-                    size = 0
+                    # The first record of a file tells of the file and is no page.
+                    size, left = 0, records - 1
                     for record in read_file(source):
+                        left -= 1
                         size += len(record["payload"] or b"")
                         found.append(record if with_payload else {**record, "payload": None})
                         if len(found) == rows or size > SEGMENT:
@@ -268,15 +270,21 @@ def _reader(with_payload: bool, rows: int = 1000):
                             found, size = [], 0
                     if found:
                         yield pa.RecordBatch.from_pylist(found, schema)
+                    if left:
+                        raise ValueError(f"{path} has {records - left} records, its manifest says {records}")
 
     return read
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The page records of the archives that ``manifest`` lists."""
+    """The page records of the archives that ``manifest`` lists.
+
+    A file with more or fewer records than its manifest says, such as one that was cut
+    between two frames, is an error.
+    """
     cores = manifest.sparkSession.sparkContext.defaultParallelism
     tasks = max(cores, manifest.count() // 4)
-    return manifest.select("path").repartition(tasks).mapInArrow(_reader(with_payload), RECORDS)
+    return manifest.select("path", "records").repartition(tasks).mapInArrow(_reader(with_payload), RECORDS)
 
 
 def restore_payloads(records: DataFrame) -> DataFrame:

@@ -82,6 +82,20 @@ def test_a_file_starts_with_its_dictionary_and_has_a_frame_per_record(tmp_path):
         list(warc.read_file(source))
 
 
+def test_files_cut_between_frames_are_noticed(spark):
+    df = spark.createDataFrame([(i, f"http://e/{i}", f"<p>{i} some text</p>" * 9) for i in range(20)], PAGES).coalesce(1)
+    manifest = warc.write_archives(df)
+    path = manifest.first()["path"].removeprefix("file:")
+    with open(path, "rb") as source:
+        raw = source.read()
+    last = raw.rfind((0xFD2FB528).to_bytes(4, "little"))
+    assert warc.read_archives(manifest).count() == 20
+    with open(path, "wb") as target:
+        target.write(raw[:last])
+    with pytest.raises(Exception, match="its manifest says 21"):
+        warc.read_archives(manifest).count()
+
+
 def brute_vectors(rows, cosine=0.98):
     unit = []
     for _, v, label in rows:
