@@ -51,7 +51,7 @@ OFFSET = 2.7
 REMEMBERED = 300_000
 SHORT = 48
 VOCABULARY_BYTES = 64 << 20
-NOTHING = (-float("inf"), -1)
+NOTHING = (-float("inf"), ())
 BYTE = re.compile(r"^<0x([0-9A-F]{2})>$")
 
 
@@ -66,8 +66,8 @@ class Vocabulary:
     ids: dict[str, int] = field(init=False)
     longest: int = field(init=False)
     unknown: float = field(init=False)
-    #: For every end of a piece, ``(score, id)``, or ``NOTHING`` if it is no piece itself.
-    ends: dict[str, tuple[float, int]] = field(init=False)
+    #: For every end of a piece, ``(score, (id,))``, or ``NOTHING`` if it is no piece itself.
+    ends: dict[str, tuple[float, tuple[int, ...]]] = field(init=False)
     breaks: bool = field(init=False)
 
     def __post_init__(self) -> None:
@@ -82,7 +82,7 @@ class Vocabulary:
         usual = [self.scores[i] for i in text if self.scores[i] > -1e8]
         self.unknown = min(usual, default=0.0) - PENALTY
         self.ends = {self.pieces[i][n:]: NOTHING for i in text for n in range(len(self.pieces[i]))}
-        self.ends.update((self.pieces[i], (self.scores[i], i)) for i in text)
+        self.ends.update((self.pieces[i], (self.scores[i], (i,))) for i in text)
         # Whether a space always starts a piece, unless it follows another space.
         self.breaks = not any(SPACE in self.pieces[i].lstrip(SPACE) for i in text)
 
@@ -127,32 +127,39 @@ class Stream:
 
     def push(self, characters: str) -> Iterator[int]:
         """Take characters in order and give out the ids that are final."""
-        v, ends = self.v, self.v.ends
         for begin in range(0, len(characters), self.check):
-            size = len(self.text)
-            self.text += characters[begin : begin + self.check]
-            text, scores, before, ids = self.text, self.scores, self.before, self.ids
-            for end in range(size + 1, len(text) + 1):
-                best, back, known = NOTHING[0], -1, ()
-                for start in range(end - 1, -1, -1):
-                    piece = ends.get(text[start:end])
-                    if piece is None:
-                        break
-                    score = scores[start] + piece[0]
-                    if score > best:
-                        best, back, known = score, start, (piece[1],)
-                if text[end - 1] not in v.ids:
-                    score = scores[end - 1] + v.unknown
-                    if back < 0 or score > best:
-                        c = text[end - 1]
-                        raw = (SPACE if c == LITERAL else c).encode("utf-8", "replace")
-                        best, back, known = score, end - 1, tuple(v.bytes_[b] for b in raw)
-                scores.append(best)
-                before.append(back)
-                ids.append(known)
-            if len(text) >= self.check:
+            self.advance(characters[begin : begin + self.check])
+            if len(self.text) >= self.check:
                 yield from self._commit()
 
+    def advance(self, characters: str) -> None:
+        """Take characters in order without giving out ids."""
+        get, single, unknown = self.v.ends.get, self.v.ids, self.v.unknown
+        size = len(self.text)
+        self.text += characters
+        text, scores, before, ids = self.text, self.scores, self.before, self.ids
+        for end in range(size + 1, len(text) + 1):
+            start = end - 1
+            c = text[start]
+            best, back, known = NOTHING[0], -1, ()
+            piece = get(c)
+            while piece is not None:
+                score = scores[start] + piece[0]
+                if score > best:
+                    best, back, known = score, start, piece[1]
+                if not start:
+                    break
+                start -= 1
+                piece = get(text[start:end])
+            if c not in single:
+                score = scores[end - 1] + unknown
+                if back < 0 or score > best:
+                    raw = (SPACE if c == LITERAL else c).encode("utf-8", "replace")
+                    best, back, known = score, end - 1, tuple(self.v.bytes_[b] for b in raw)
+            scores.append(best)
+            before.append(back)
+            ids.append(known)
+
     def _commit(self) -> Iterator[int]:
         """Give out what all paths share that a later piece can still build on."""
         end = len(self.text)
@@ -203,6 +210,10 @@ class Encoder:
                 self.raw[i] = bytes([value])
 
     def _viterbi(self, part: str) -> tuple[int, ...]:
+        if len(part) < self.stream.check:
+            # Its end is a boundary where all paths meet, which comes before the first commit.
+            self.stream.advance(part)
+            return tuple(self.stream.close())
         return (*self.stream.push(part), *self.stream.close())
 
     def encode(self, text: str) -> np.ndarray:
