@@ -49,3 +49,10 @@ def test_the_flagship_scan_prunes_by_the_scope(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderstatus,F)" in plan
     assert "RoundRobinPartitioning" not in plan
+
+
+def test_languages_of_every_document(spark, database):
+    """Neither the query nor its SQL leaves documents out."""
+    every = {r[0] for r in database.execute("SELECT doc_id FROM documents").fetchall()}
+    assert {r.item_id for r in workload.QUERIES["language_detect"](spark, FOLDER).collect()} == every
+    assert {r[0] for r in database.execute(workload.ORACLES["language_detect"]).fetchall()} == every
