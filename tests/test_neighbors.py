@@ -3,13 +3,15 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from planted import brute_force, planted, table
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalith import session
-from catalith.operators import evaluate, knn
+from catalith.operators import evaluate, knn, pairwise
 from catalith.operators.cluster import kmeans
 from catalith.sources import readers, writers
 
@@ -254,3 +256,67 @@ def test_planted_groups_are_found_again(spark):
     assert all(r["value"] == 1.0 and r["n"] == 120 for r in metrics)
     with pytest.raises(ValueError, match="group_id"):
         evaluate.evaluate(catalog.drop("group_id"), catalog)
+
+
+@pytest.mark.parametrize("plan", ["right", "left"])
+def test_a_given_plan_goes_over_to_blocks_beyond_the_limit(spark, plan):
+    ids, labels, x = planted(4, 12)
+    catalog = table(spark, ids, labels, x)
+    got = knn.nearest(catalog, catalog, 4, exclude_self=True, plan=plan, broadcast_bytes=1)
+    assert found(got) == brute_force(ids, labels, x, 4)
+
+
+def test_small_blocks_are_filled_up(spark, monkeypatch):
+    """The right table is not read once for every few left rows."""
+
+    class LeftSizes:
+        """Kernel that tells how many left rows came together."""
+
+        def prepare(self, right):
+            return None
+
+        def compare(self, left, prepared, so_far=None):
+            return left.select([pairwise.LEFT_ROW]).append_column("n", pa.array([len(left)] * len(left)))
+
+        def merge(self, partial):
+            return partial.slice(0, len(partial) // 2)
+
+    left = table(spark, *planted(4, 25)).select("embedding").coalesce(1)
+    right = left.withColumnRenamed("embedding", "other")
+
+    def sizes():
+        schema = T.StructType([T.StructField("n", T.LongType())])
+        out, _ = pairwise.pairwise(left, right, LeftSizes(), schema, "embedding", "other", "blocks", block_rows=7)
+        return {r.n for r in out.collect()}
+
+    # Read in small batches, which a block gathers.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert sizes() == {100}
+        monkeypatch.setattr(pairwise, "LEAST_ROWS", 1)
+        assert max(sizes()) < 20
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "ip"])
+def test_estimates_lose_no_hit(monkeypatch, metric):
+    """Copies, zero rows, excluded ranges, lengths far from 1, and a score to beat."""
+    monkeypatch.setattr(knn, "_TILE_ROWS", 16)
+    monkeypatch.setattr(knn, "_TILE_COLUMNS", 64)
+    rng = np.random.default_rng(3)
+    q, c = rng.normal(size=(90, 12)), rng.normal(size=(700, 12))
+    c[100:300], c[400:420], q[5:8], q[20:40] = c[5], 0.0, 0.0, c[5]
+    for scale in (1.0, 1e-6, 1e3):
+        a, b = (knn.unit_rows(q), knn.unit_rows(c)) if metric == "cosine" else (q * scale, c * scale)
+        ranges = np.sort(rng.integers(0, len(c) + 1, size=(len(q), 2)), axis=1)
+        for k in (1, 5, 1000):
+            for blocked in ((), ranges):
+                want, got = knn.top_columns(a, b, k, metric, blocked), knn.best_columns(a, b, k, metric, blocked)
+                assert all((x == y).all() for x, y in zip(want[:2], got[:2], strict=True))
+                assert np.allclose(want[2], got[2], rtol=1e-12, atol=1e-9)
+        rows_, _, scores = knn.best_columns(a, b, 3, metric)
+        least = scores[2::3]
+        again = knn.best_columns(a, b, 3, metric, (), least)
+        assert (again[2] == scores).all() and (again[0] == rows_).all()
+        assert not len(knn.best_columns(a, b, 3, metric, (), least + 1e9)[0])
