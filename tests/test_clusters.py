@@ -6,6 +6,7 @@ from conftest import rows
 from planted import planted, table
 from pyspark.sql import functions as F
 
+from catalith import session
 from catalith.operators import assign, cluster, quality, report, terms
 from catalith.plans import clusters as plans
 
@@ -292,3 +293,29 @@ def test_the_best_trial_is_fitted_again(spark):
     assert len(pairs) == 4 and assignments.count() == len(ids)
     with pytest.raises(ValueError, match="silhouette"):
         plans.tune(made, grid, silhouette="none", **options)
+
+
+def _tables(spark):
+    return sum(len(paths) for paths in session._written.values())
+
+
+def test_texts_and_terms_are_written_once(spark, monkeypatch):
+    """The corpus of a report is not written, and terms beyond the broadcast limit are not written again."""
+    texts = [(0, "a", "one two two"), (0, "b", "two three"), (1, "c", "three one"), (1, None, "four three")]
+    corpus = spark.createDataFrame(texts, "cluster_id int, item_id string, text string")
+
+    def found(df):
+        return sorted((r.item_id or "", r.term, round(r.weight, 9)) for r in df.collect())
+
+    small = found(terms.tfidf(corpus))
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
+    before = _tables(spark)
+    large = terms.tfidf(corpus)
+    assert _tables(spark) - before == 3  # terms of the rows, terms of two rows or more, frequencies
+    assert found(large) == small
+    monkeypatch.undo()
+    assignments = corpus.select("cluster_id", "item_id", F.lit("g").alias("group_id"), F.lit(1.0).alias("sim_to_centroid"))
+    views = corpus.select("item_id", F.col("text").alias("title_text"), F.lit("").alias("chap_titles_text"), F.lit("").alias("meta_text"))
+    before = _tables(spark)
+    report.cluster_report(assignments, views)
+    assert _tables(spark) - before == 5  # terms of the rows, of two rows or more, sizes, top terms, summary
