@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import pyarrow as pa
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -113,3 +114,18 @@ def test_vector_expressions(spark):
     assert got[6] == '["é","b"]'
     assert rows(df.select(vectors.threshold_label(F.lit(0.35), F.lit(3), 0.35))) == [(3,)]
     assert rows(df.select(vectors.threshold_label(F.lit(0.34), F.lit(3), 0.35))) == [(-1,)]
+
+
+def test_long_texts_are_changed_in_pieces(monkeypatch):
+    """Pieces hold some bytes, whatever the rows of a batch; nulls and slices keep their places."""
+    seen = []
+
+    def change(value):
+        seen.append(value)
+        return value.upper()
+
+    monkeypatch.setattr(text, "PIECE_BYTES", 5)
+    texts = pa.array(["out", "ab", None, "c" * 20, "", None, "é", "z"])
+    assert text._changed(texts.slice(1), change).to_pylist() == ["AB", None, "C" * 20, "", None, "É", "Z"]
+    assert seen == ["ab", "c" * 20, "", "é", "z"]
+    assert text._changed(texts.slice(0, 0), change).to_pylist() == []
