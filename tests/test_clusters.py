@@ -7,7 +7,7 @@ from planted import planted, table
 from pyspark.sql import functions as F
 
 from catalith import session
-from catalith.operators import assign, cluster, quality, report, terms
+from catalith.operators import assign, cluster, encode, quality, report, terms
 from catalith.plans import clusters as plans
 
 
@@ -319,3 +319,46 @@ def test_texts_and_terms_are_written_once(spark, monkeypatch):
     before = _tables(spark)
     report.cluster_report(assignments, views)
     assert _tables(spark) - before == 5  # terms of the rows, of two rows or more, sizes, top terms, summary
+
+
+def test_silhouettes_of_blocks_compare_each_pair_once(spark, monkeypatch):
+    """Pairs of many small blocks, two labellings at once: as NumPy has it."""
+    _, labels, x = planted(5, 30, noise=0.4)
+    labels, other = labels.copy(), np.arange(len(x)) % 3
+    labels[0], x[40:60] = 9, x[40]  # a cluster of one, and many copies
+    x[60:90] += 7.0  # a cluster far from the others, whose members bounds rule out
+    ids = [None if i % 4 == 0 else f"i{i % 7}" for i in range(len(x))]
+    number = F.substring("group_id", 2, 9).cast("int")
+    members = table(spark, ids, labels, x).withColumn("cluster_id", number)
+    both = table(spark, ids, labels * 10 + other, x).select(
+        F.floor(number / 10).cast("int").alias("first"), (number % 10).alias("second"), "embedding"
+    )
+    monkeypatch.setattr(quality, "PAIR_BYTES", 20 * 8 * x.shape[1])
+    x = x.astype(np.float64)
+    expected = [silhouette(labels, x), silhouette(other, x)]
+    assert quality.silhouettes(both, ["first", "second"]) == pytest.approx(expected, abs=1e-9)
+    monkeypatch.setattr(quality, "pairwise", None)  # no table is broadcast, and none is read whole
+    found = quality.silhouette_by_item(members)
+    assert found.count() == len(x) and found.where("item is null").count() == sum(i is None for i in ids)
+    assert quality.silhouette(members).head()["silhouette"] == pytest.approx(expected[0], abs=1e-9)
+    monkeypatch.undo()
+    monkeypatch.setattr(quality, "PAIR_GROUPS", 2)
+    assert quality.silhouettes(both, ["first", "second"]) == pytest.approx(expected, abs=1e-9)
+
+
+def test_tuning_compares_and_encodes_once_per_text(spark, monkeypatch):
+    """All numbers of clusters of one text share one pass over its pairs, and all texts one encoding."""
+    texts = [(str(i), f"g{i % 3}", f"Été pump {i % 3} -x", f"valve {i % 5} ΣΑΣ || y{i}", f"{i % 4} | qa") for i in range(30)]
+    views = spark.createDataFrame(texts, "item_id string, group_id string, title_text string, chap_titles_text string, meta_text string")
+    weights = [encode.TextWeights(2.0, 1.0, 0.5), encode.TextWeights(1.0, 3.0, 2.0)]
+    found = encode.encode_weights(views, weights, 16)
+    for i, w in enumerate(weights):
+        single = encode.encode_items(views, w, dim=16)
+        assert sorted(map(str, found.select("item_id", "group_id", f"embedding_{i}").collect())) == sorted(
+            str(r).replace("embedding=", f"embedding_{i}=") for r in single.collect()
+        )
+    passes, compared = [], quality._compared
+    monkeypatch.setattr(quality, "_compared", lambda rows, labellings, groups: passes.append(len(labellings)) or compared(rows, labellings, groups))
+    grid = plans.parameter_grid([2, 3], w_chaps=[1.0, 3.0], w_meta=[0.5, 0.0])
+    trials = plans.tune(views, grid, dim=16, max_iter=5).collect()
+    assert passes == [2, 2] and [r["k"] for r in trials] == [k for k, *_ in grid]
