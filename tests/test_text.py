@@ -4,12 +4,14 @@ import re
 import unicodedata
 
 import pyarrow as pa
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from catalith.functions import text, vectors
+from catalith.operators import encode
 
 ODD = text.WHITESPACE + "\u00e9e\u0301\u00f1\u00df\ufb01\u00b2ab-_1Z"
 TEXTS = st.lists(st.text(alphabet=st.sampled_from(ODD), max_size=30), min_size=1, max_size=20)
@@ -129,3 +131,31 @@ def test_long_texts_are_changed_in_pieces(monkeypatch):
     assert text._changed(texts.slice(1), change).to_pylist() == ["AB", None, "C" * 20, "", None, "É", "Z"]
     assert seen == ["ab", "c" * 20, "", "é", "z"]
     assert text._changed(texts.slice(0, 0), change).to_pylist() == []
+
+
+def test_encoders_get_few_texts_at_a_time(spark, monkeypatch):
+    """A batch of long texts is never held as Python strings in one piece."""
+    held = []
+
+    class Lengths:
+        def encode(self, texts):
+            assert all(type(t) is str for t in texts)
+            held.append(sum(len(t.encode()) for t in texts))
+            return [[len(t), 1.0] for t in texts]
+
+    monkeypatch.setattr(text, "PIECE_BYTES", 100)
+    texts = ["é" * 20, "", "b" * 250, *["c" * 30] * 7]
+    found = encode._encoded(pa.array(["x", *texts]).slice(1), Lengths(), 4, False)
+    assert found.to_pylist() == [[len(t), 1.0] for t in texts]
+    assert len(held) == 5 and sorted(held)[-2] <= 100 and max(held) == 250
+    assert encode._encoded(pa.array([], pa.string()), Lengths(), 4, True).to_pylist() == []
+    rows_ = spark.createDataFrame([(i, t or None) for i, t in enumerate(texts)], "i int, text string")
+    vectors = [r["embedding"] for r in encode.encode(rows_, Lengths, batch_size=3, normalize=False).orderBy("i").collect()]
+    assert vectors == [[len(t), 1.0] for t in texts]
+
+    class Short:
+        def encode(self, texts):
+            return [[1.0]] * (len(texts) - 1)
+
+    with pytest.raises(ValueError, match="vectors for"):
+        encode._encoded(pa.array(["a", "b"]), Short(), 64, True)
