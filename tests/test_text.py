@@ -159,3 +159,16 @@ def test_encoders_get_few_texts_at_a_time(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="vectors for"):
         encode._encoded(pa.array(["a", "b"]), Short(), 64, True)
+
+
+def test_encoders_run_after_texts_were_normalised(spark):
+    """What tasks of an encoder are sent holds no function that Spark has already taken."""
+
+    class Sizes:
+        def encode(self, texts):
+            return [[len(t)] for t in texts]
+
+    rows_ = spark.createDataFrame([("e\u0301",), ("ab",)], "text string")
+    assert rows(rows_.select(text.nfc(F.col("text")))) == [("ab",), ("é",)]
+    found = encode.encode(rows_, Sizes, normalize=False)
+    assert rows(found.select("embedding")) == [([2.0],), ([2.0],)]
