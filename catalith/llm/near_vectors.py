@@ -11,11 +11,14 @@ partner in list ``l`` is nearer to ``l`` than to the query's own list, and so th
 query lies within ``r`` of the plane between the two centroids. In a list, sums
 of table lookups by code give the distance to the coded vector; a class is a
 candidate if that is at most ``r`` plus what its code leaves out. Neither test
-loses a pair. Candidates are compared by the exact cosine in double precision.
+loses a pair, so each pair is tried once, with one of the two as the query.
+Candidates are compared by the exact cosine in double precision.
 
-A list with many rows is compared in pairs of blocks of bounded size. Tasks
-return numbers of links per class and a spanning forest of the links, never the
-links, so the output grows with the number of classes and probes.
+A label of few classes is searched by one task. The classes of others are written
+once, in blocks of neighbouring lists; a task reads two blocks and probes the lists of
+one with the classes of the other, so no class is copied for the lists it probes.
+Tasks return numbers of links per class and a spanning forest of the links, never the
+links, so the output grows with the number of classes and blocks.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 parts, and vectors without a label, link with nothing. Vectors of different
@@ -29,15 +32,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.llm.graph import components
-from catalith.llm.near_text import by_group, in_blocks, merge, whole_groups
-from catalith.session import materialize
+from catalith.llm.near_text import by_group, merge, whole_groups
+from catalith.operators.pairwise import stored_table
+from catalith.session import materialize, write_shared
 
 #: Classes on which centroids and codebooks are fitted; no more than this many reach the driver.
 SAMPLE = 20_000
@@ -46,8 +51,12 @@ MAX_LISTS = 2048
 SUBSPACES = 8
 CODES = 64
 ROUNDS = 8
-BLOCK = 1024
-STRIP = 256
+#: Classes of a block, and of a label that one task searches.
+BLOCK = 4096
+#: Most rows of sizes that are broadcast.
+FEW_LISTS = 100_000
+#: Numbers of a matrix of coded distances.
+TILE = 1 << 20
 PAIRS = 8192
 
 
@@ -92,20 +101,14 @@ class Quantizer:
             residuals[:, a:b] -= self.books[i][codes[:, i]]
         return own, codes, np.sqrt((residuals * residuals).sum(axis=1))
 
-    def probes(self, x: np.ndarray, own: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        """``(row, list)`` of all lists that may hold a vector within ``radius``."""
-        c = self.centroids
+    def near(self, x: np.ndarray, own: np.ndarray, coarse: int, radius: float) -> np.ndarray:
+        """The rows that must probe a list: a vector in it may be within ``radius``."""
+        c, center = self.centroids, self.centroids[coarse]
         squares = (c * c).sum(axis=1)
-        between = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * c @ c.T, 0))
-        rows, lists = [], []
-        for i in range(0, len(x), 4096):
-            far = squares - 2 * x[i : i + 4096] @ c.T
-            mine = own[i : i + 4096]
-            gap = far - far[np.arange(len(mine)), mine][:, None]
-            row, found = np.nonzero(gap <= 2 * radius * between[mine] + 1e-9)
-            rows.append(row + i)
-            lists.append(found)
-        return np.concatenate(rows), np.concatenate(lists)
+        between = np.sqrt(np.maximum(squares + squares[coarse] - 2 * c @ center, 0))
+        mine = c[own]
+        gap = (squares[coarse] - 2 * x @ center) - (squares[own] - 2 * np.einsum("ij,ij->i", x, mine))
+        return np.flatnonzero((own == coarse) | (gap <= 2 * radius * between[own] + 1e-9))
 
     def tables(self, x: np.ndarray, coarse: int) -> list[np.ndarray]:
         """For each subspace, squared distances from the rows' residuals to all codes."""
@@ -132,52 +135,81 @@ def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _index(quantizers: dict[int, Quantizer], radius: float):
-    """Rows of members (``probe`` false) and of queries, for one dimension per call."""
+def _nearest_lists(quantizers: dict[int, Quantizer]):
+    """The list of each class, for the sizes of lists."""
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for width, rows in _widths(batch):
+                own = _nearest(_units(_rows(rows.column("vector"))), quantizers[width].centroids)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("label"), rows.column("dims"), pa.array(own)], ["label", "dims", "list"]
+                )
+
+    return lists
+
+
+def _widths(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a batch for each dimension."""
+    dims = batch.column("dims").to_numpy()
+    for width in np.unique(dims):
+        yield int(width), batch.take(pa.array(np.flatnonzero(dims == width)))
+
+
+def _index(quantizers: dict[int, Quantizer]):
+    """Classes with their list, codes and the length that these leave out."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column("dims").to_numpy()
-            for width in np.unique(dims):
-                rows = batch.take(pa.array(np.flatnonzero(dims == width)))
-                quantizer = quantizers[int(width)]
+            for width, rows in _widths(batch):
                 raw = _rows(rows.column("vector"))
-                x = _units(raw)
-                own, codes, rest = quantizer.encode(x)
-                at, lists = quantizer.probes(x, own, radius)
-                n = len(x)
-                take = np.concatenate((np.arange(n), at))
-                is_query = np.concatenate((np.zeros(n, dtype=bool), np.ones(len(at), dtype=bool)))
-                blobs = pa.array([v.tobytes() for v in raw], pa.binary())
-                packed = pa.array([c.tobytes() for c in codes], pa.binary())
-                order = pa.array(take)
+                own, codes, rest = quantizers[width].encode(_units(raw))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.column("label").take(order),
-                        rows.column("dims").take(order),
-                        pa.array(np.concatenate((own, lists))),
-                        pa.array(is_query),
-                        rows.column("class").take(order),
-                        rows.column("copies").take(order),
-                        blobs.take(order),
-                        packed.take(order),
-                        pa.array(rest[take]),
+                        rows.column("label"),
+                        rows.column("dims"),
+                        pa.array(own),
+                        rows.column("class"),
+                        rows.column("copies"),
+                        pa.array([v.tobytes() for v in raw], pa.binary()),
+                        pa.array([c.tobytes() for c in codes], pa.binary()),
+                        pa.array(rest),
                     ],
-                    ["label", "dims", "list", "query", "class", "copies", "raw", "codes", "rest"],
+                    ["label", "dims", "list", "class", "copies", "raw", "codes", "rest"],
                 )
 
     return index
 
 
-INDEXED = (
-    "label string, dims int, list long, query boolean, class long, copies long, raw binary, codes binary, rest double"
-)
+INDEXED = "label string, dims int, list long, class long, copies long, raw binary, codes binary, rest double"
 FOUND = "class long, partners long, root long"
+STORED = ["dims", "list", "class", "copies", "raw", "codes", "rest"]
+PAIR = ["a_home", "a_part", "b_home", "b_part"]
+
+
+class _Block:
+    """Indexed classes of one label and dimension, in the order of their lists."""
+
+    def __init__(self, table: pa.Table):
+        table = table.take(pa.array(np.argsort(table.column("list").to_numpy(), kind="stable")))
+        n, self.width = table.num_rows, table.column("dims")[0].as_py()
+        self.lists, self.cls, self.copies = (table.column(c).to_numpy() for c in ("list", "class", "copies"))
+        self.rest = table.column("rest").to_numpy().astype(np.float32)
+        raw = b"".join(table.column("raw").to_pylist())
+        precision = np.float32 if len(raw) == 4 * self.width * n else np.float64
+        self.unit = _units(np.frombuffer(raw, dtype=precision).reshape(n, self.width))
+        self.codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), dtype=np.uint8).reshape(n, -1)
+        self.starts = np.flatnonzero(np.append(True, self.lists[1:] != self.lists[:-1]))
+
+
+def _columns(found: tuple | None) -> Iterator[pa.RecordBatch]:
+    if found is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["class", "partners", "root"])
 
 
 def _search(quantizers: dict[int, Quantizer], cosine: float):
-    radius = math.sqrt(2 - 2 * cosine)
-    keys = ["label", "dims", "list", "part"]
+    """Links within whole labels."""
+    keys = ["label", "dims"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, keys):
@@ -186,64 +218,110 @@ def _search(quantizers: dict[int, Quantizer], cosine: float):
             first[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
             starts = np.flatnonzero(first)
             for start, end in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
-                found = _list_links(table.slice(int(start), int(end - start)), quantizers, cosine, radius)
-                if found is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["class", "partners", "root"])
+                if end - start > 1:
+                    block = _Block(table.slice(int(start), int(end - start)))
+                    yield from _columns(_links(block, block, quantizers, cosine))
 
     return search
 
 
-def _list_links(table: pa.Table, quantizers: dict[int, Quantizer], cosine: float, radius: float):
-    """Partners of the queries among the members of one list, and a forest of the links."""
-    query = table.column("query").to_numpy()
-    members, queries = np.flatnonzero(~query), np.flatnonzero(query)
-    if not len(members) or not len(queries):
-        return None
-    quantizer = quantizers[table.column("dims")[0].as_py()]
-    coarse = table.column("list")[0].as_py()
-    cls = table.column("class").to_numpy()
-    side = table.column("side").to_numpy()
-    copies = table.column("copies").to_numpy()[members]
-    rest = table.column("rest").to_numpy()[members].astype(np.float32)
-    width = table.column("dims")[0].as_py()
-    raw = b"".join(table.column("raw").to_pylist())
-    precision = np.float32 if len(raw) == 4 * width * len(cls) else np.float64
-    unit = _units(np.frombuffer(raw, dtype=precision).reshape(-1, width))
-    codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), dtype=np.uint8).reshape(len(cls), -1)[members]
-    bound = (np.float32(radius) + rest) ** 2 + np.float32(1e-4)
-    partners = np.zeros(len(queries), dtype=np.int64)
-    # Classes that are both query and member are one place of the forest.
-    ids, place = np.unique(cls, return_inverse=True)
-    label = np.arange(len(ids))
-    for start in range(0, len(queries), STRIP):
-        strip = queries[start : start + STRIP]
-        distance = np.zeros((len(strip), len(members)), dtype=np.float32)
-        for part, lookup in enumerate(quantizer.tables(unit[strip], coarse)):
-            distance += lookup[:, codes[:, part]]
-        # In a pair of blocks only rows of different blocks are compared.
-        compared = (side[strip][:, None] != side[members]) | (side[strip][:, None] < 0)
-        row, column = np.nonzero((distance <= bound) & compared)
-        other = cls[strip[row]] != cls[members[column]]
-        row, column = row[other], column[other]
-        exact = np.zeros(len(row), dtype=bool)
-        for i in range(0, len(row), PAIRS):
-            a, b = unit[strip[row[i : i + PAIRS]]], unit[members[column[i : i + PAIRS]]]
-            exact[i : i + PAIRS] = np.einsum("ij,ij->i", a, b) >= cosine
-        row, column = row[exact], column[exact]
-        if not len(row):
-            continue
-        partners[start : start + len(strip)] += np.bincount(row, weights=copies[column], minlength=len(strip)).astype(int)
-        label = merge(label, place[strip[row]], place[members[column]])
+def _search_pairs(path: str, quantizers: dict[int, Quantizer], cosine: float):
+    """Links between two stored blocks, or within one."""
+
+    def load(home: int, part: int) -> _Block | None:
+        table = stored_table(f"{path}/home={home}/part={part}", STORED)
+        return None if table is None else _Block(table)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, block = None, None
+        for batch in batches:
+            for a_home, a_part, b_home, b_part in zip(*(batch.column(c).to_pylist() for c in PAIR), strict=True):
+                if held != (a_home, a_part):
+                    held, block = (a_home, a_part), load(a_home, a_part)
+                other = block if held == (b_home, b_part) else load(b_home, b_part)
+                # A part to which no class was dealt has no folder.
+                if block is not None and other is not None:
+                    yield from _columns(_links(block, other, quantizers, cosine))
+
+    return search
+
+
+def _links(a: _Block, b: _Block, quantizers: dict[int, Quantizer], cosine: float):
+    """Partners of the classes of two blocks, or of one, among each other, and a forest of the links."""
+    quantizer, radius = quantizers[a.width], math.sqrt(2 - 2 * cosine)
+    bound = (np.float32(radius) + b.rest) ** 2 + np.float32(1e-4)
+    # Places of the classes of ``b`` come after those of ``a``.
+    after = 0 if a is b else len(a.cls)
+    partners = np.zeros(after + len(b.cls), dtype=np.int64)
+    label = np.arange(len(partners))
+    for start, end in zip(b.starts, np.append(b.starts[1:], len(b.cls)), strict=True):
+        coarse = int(b.lists[start])
+        # Within a block each pair is tried with the earlier class as the query.
+        asking = slice(0, end if a is b else len(a.cls))
+        queries = quantizer.near(a.unit[asking], a.lists[asking], coarse, radius)
+        size = max(1, TILE // (end - start))
+        for begin in range(0, len(queries), size):
+            strip = queries[begin : begin + size]
+            distance = np.zeros((len(strip), end - start), dtype=np.float32)
+            for part, lookup in enumerate(quantizer.tables(a.unit[strip], coarse)):
+                distance += lookup[:, b.codes[start:end, part]]
+            row, column = np.nonzero(distance <= bound[start:end])
+            row, column = strip[row], column + start
+            if a is b:
+                once = row < column
+                row, column = row[once], column[once]
+            exact = np.zeros(len(row), dtype=bool)
+            for i in range(0, len(row), PAIRS):
+                x, y = a.unit[row[i : i + PAIRS]], b.unit[column[i : i + PAIRS]]
+                exact[i : i + PAIRS] = np.einsum("ij,ij->i", x, y) >= cosine
+            row, column = row[exact], column[exact]
+            if len(row):
+                np.add.at(partners, row, b.copies[column])
+                np.add.at(partners, column + after, a.copies[row])
+                label = merge(label, row, column + after)
+    ids = a.cls if a is b else np.concatenate((a.cls, b.cls))
     some = np.flatnonzero(partners)
+    if not len(some):
+        return None
     joined = np.flatnonzero(label != np.arange(len(label)))
-    nothing = np.zeros(len(joined), dtype=np.int64)
     return (
-        np.concatenate((cls[queries[some]], ids[joined])),
-        np.concatenate((partners[some], nothing)),
-        np.concatenate((cls[queries[some]], ids[label[joined]])),
+        np.concatenate((ids[some], ids[joined])),
+        np.concatenate((partners[some], np.zeros(len(joined), dtype=np.int64))),
+        np.concatenate((ids[some], ids[label[joined]])),
     )
 
 
+def _stored_blocks(classes: DataFrame, lists, index) -> tuple[str, DataFrame]:
+    """The folder of the blocks of large labels, and ``(label, dims, home, part)`` of each block.
+
+    ``home`` numbers neighbouring lists of one label; a list of more than ``BLOCK`` classes
+    is dealt to several parts. Vectors are not written before they are dealt, so lists are
+    found twice; a class that came to another list the second time goes to the first block.
+    """
+    keys = ["label", "dims"]
+    sizes = classes.mapInArrow(lists, "label string, dims int, list long").groupBy(*keys, "list").count()
+    numbered = materialize(sizes.withColumn("at", F.monotonically_increasing_id()))
+    before = F.sum("count").over(Window.partitionBy(*keys).orderBy("list")) - F.col("count")
+    shared = Window.partitionBy(*keys, "bucket")
+    places = materialize(
+        numbered.withColumn("bucket", F.floor(before / BLOCK))
+        .withColumns({"home": F.min("at").over(shared), "parts": F.greatest(F.lit(1), F.floor(F.col("count") / BLOCK))})
+        .select(*keys, "list", "home", "parts")
+    )
+    few = places.limit(FEW_LISTS + 1).count() <= FEW_LISTS
+    first = places.groupBy(*keys).agg(F.min("home").alias("first"))
+    placed = classes.mapInArrow(index, INDEXED).join(F.broadcast(places) if few else places, [*keys, "list"], "left")
+    placed = placed.join(F.broadcast(first), keys).withColumns(
+        {
+            "home": F.coalesce("home", "first"),
+            "part": F.coalesce(F.pmod(F.xxhash64("class"), F.col("parts")), F.lit(0)),
+        }
+    )
+    path = write_shared(placed.select(*STORED, "home", "part").repartition("home", "part"), ["home", "part"])
+    homes = places.groupBy(*keys, "home").agg(F.max("parts").alias("parts"))
+    return path, materialize(homes.select(*keys, "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+
+
 def _fit(classes: DataFrame) -> dict[int, Quantizer]:
     """One quantizer per dimension, from a bounded sample; lists grow with the classes."""
     counts = {r["dims"]: r["count"] for r in classes.groupBy("dims").count().collect()}
@@ -274,14 +352,8 @@ def near_vectors(
     rows = df.select(F.col(key).alias("row_key"), F.col(vector).cast(kind).alias("vector"), F.col(label).cast("string").alias("label"))
     fine = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     good = (F.col("label").isNotNull()) & (F.size("vector") > 0) & fine & F.exists("vector", lambda v: v != 0)
-    keyed = materialize(
-        rows.select(
-            "row_key",
-            "label",
-            "vector",
-            F.when(F.coalesce(good, F.lit(False)), F.unhex(F.md5(F.to_json(F.struct("label", "vector"))))).alias("same"),
-        )
-    )
+    same = F.when(F.coalesce(good, F.lit(False)), F.unhex(F.md5(F.to_json(F.struct("label", "vector")))))
+    keyed = rows.withColumn("same", same)
     classes = materialize(
         keyed.where("same IS NOT NULL")
         .groupBy("same")
@@ -289,24 +361,33 @@ def near_vectors(
         .withColumn("dims", F.size("vector"))
         .withColumn("class", F.monotonically_increasing_id())
     )
-    radius = math.sqrt(2 - 2 * cosine)
     shared = spark.sparkContext.broadcast(_fit(classes))
 
+    def lists(batches):
+        return _nearest_lists(shared.value)(batches)
+
     def index(batches):
-        return _index(shared.value, radius)(batches)
+        return _index(shared.value)(batches)
 
     def search(batches):
         return _search(shared.value, cosine)(batches)
 
-    indexed = materialize(
-        classes.select("label", "dims", "class", "copies", "vector").mapInArrow(index, INDEXED)
-    )
-    lists = ["label", "dims", "list"]
-    sizes = materialize(
-        indexed.groupBy(*lists).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    )
-    dealt = in_blocks(indexed.join(sizes, lists), "list", "blocks", "class")
-    found = materialize(by_group(dealt.drop("blocks"), [*lists, "part"], search, FOUND))
+    def search_pairs(batches):
+        return _search_pairs(path, shared.value, cosine)(batches)
+
+    group = ["label", "dims"]
+    vectors = classes.select(*group, "class", "copies", "vector")
+    large = materialize(classes.groupBy(*group).count().where(F.col("count") > BLOCK).select(*group))
+    rest = vectors.join(F.broadcast(large), group, "left_anti").mapInArrow(index, INDEXED)
+    parts = [by_group(rest, group, search, FOUND)]
+    if large.limit(1).count():
+        path, blocks = _stored_blocks(vectors.join(F.broadcast(large), group, "left_semi"), lists, index)
+        a, b = (blocks.select(*group, F.col("home").alias(f"{x}_home"), F.col("part").alias(f"{x}_part")) for x in "ab")
+        once = (F.col("a_home") < F.col("b_home")) | ((F.col("a_home") == F.col("b_home")) & (F.col("a_part") <= F.col("b_part")))
+        pairs = materialize(a.join(b, group).where(once).select(*PAIR))
+        tasks = max(4 * spark.sparkContext.defaultParallelism, min(10_000, pairs.count() // 32))
+        parts.append(pairs.repartition(tasks).sortWithinPartitions(*PAIR).mapInArrow(search_pairs, FOUND))
+    found = materialize(reduce(DataFrame.unionByName, parts))
     partners = found.where("partners > 0").groupBy("class").agg(F.sum("partners").alias("partners"))
     trees = components(found.where("class <> root").select(F.col("class").alias("a"), F.col("root").alias("b")))
     members = materialize(trees.join(classes.select(F.col("class").alias("node"), "least"), "node"))
@@ -323,7 +404,7 @@ def near_vectors(
         )
     )
     component = F.when(F.col("same").isNull(), F.col("row_key")).otherwise(F.col("component_id"))
-    return keyed.drop("vector").join(answer, "same", "left").select(
+    return keyed.drop("label", "vector").join(answer, "same", "left").select(
         F.col("row_key").alias(key),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),

@@ -148,6 +148,27 @@ def test_vectors_agree_with_all_pairs(spark, monkeypatch, list_rows, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
 
 
+def test_vectors_are_not_copied_for_the_lists_they_probe(spark, monkeypatch):
+    """What is written grows with the vectors, also where each probes most lists and labels have many blocks."""
+    monkeypatch.setattr(near_vectors, "LIST_ROWS", 8)
+    monkeypatch.setattr(near_vectors, "BLOCK", 50)
+    written, write = [], near_vectors.write_shared
+
+    def count(df, partition_by=None):
+        path = write(df, partition_by)
+        written.append(spark.read.parquet(path))
+        return path
+
+    monkeypatch.setattr(near_vectors, "write_shared", count)
+    monkeypatch.setattr(near_vectors, "materialize", lambda df: spark.read.schema(df.schema).parquet(count(df)))
+    rows = [(i, [float(v) for v in x], i % 2) for i, x in enumerate(np.random.default_rng(5).normal(size=(400, 6)))]
+    df = spark.createDataFrame(rows, VECTORS)
+    found = near_vectors.near_vectors(df, cosine=0.9).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=repr) == brute_vectors(rows, 0.9)
+    held = [t for t in written if {"vector", "raw"} & set(t.columns)]
+    assert held and all(t.count() <= len(rows) for t in held)
+
+
 def test_no_vectors(spark):
     assert near_vectors.near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
