@@ -224,6 +224,43 @@ def test_one_shuffle_of_terms(spark):
     assert plan.count("Exchange hashpartitioning") == 2  # by cluster and term, and the top terms by cluster
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_cluster_terms_are_those_of_all_rows(spark, monkeypatch, limit):
+    """Neither pieces nor sums that are left out change the best terms; terms are not shuffled by row."""
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", limit)
+    for name, value in (("_COUNTED", 40), ("_HELD", 300), ("_LOOKED_UP", 90), ("_READ", 3)):
+        monkeypatch.setattr(terms, name, value)
+    rng = np.random.default_rng(11)
+    docs = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, rng.integers(0, 30)) % 300) for _ in range(150)]
+    rows_ = [(None if i % 31 == 0 else int(rng.integers(0, 4)), i, None if i % 37 == 0 else d) for i, d in enumerate(docs)]
+    corpus = spark.createDataFrame([*rows_, (9, 200, "alone here")], "cluster_id int, item_id int, text string").repartition(3)
+    found = terms.cluster_terms(corpus, 5, ngram_max=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 2
+    got = {(r.cluster_id, r["rank"]): (r.term, pytest.approx(r.weight)) for r in found.collect()}
+    sums, sizes = {}, {}
+    for r in corpus.collect():
+        sizes[r.cluster_id] = sizes.get(r.cluster_id, 0) + 1
+    for r in terms.tfidf(corpus, ["cluster_id"], ngram_max=3).collect():
+        sums.setdefault(r.cluster_id, {}).setdefault(r.term, []).append(r.weight)
+    want = {}
+    for cluster, weights in sums.items():
+        means = {t: round(sum(w) / sizes[cluster], 12) for t, w in weights.items()}
+        for rank, t in enumerate(sorted(means, key=lambda t: (-means[t], t))[:5], 1):
+            if cluster is not None:
+                want[cluster, rank] = (t, means[t])
+    assert got == want
+
+
+def test_digests_that_agree_in_one_half_are_apart():
+    high = np.array([5, 5, 7, 5, 9], dtype=np.uint64)
+    low = np.array([1, 2, 1, 1, 3], dtype=np.uint16)
+    held = terms._added(high, low, np.array([2, 3, 4, 5, 6]))
+    assert [x.tolist() for x in held] == [[5, 5, 7, 9], [1, 2, 1, 3], [7, 3, 4, 6]]
+    wanted = np.array([9, 5, 5, 5, 6, 7], dtype=np.uint64), np.array([3, 2, 1, 4, 0, 2], dtype=np.uint16)
+    assert terms._Frequencies("", held).find(*wanted).tolist() == [6, 3, 7, 1, 1, 1]
+
+
 def test_grid_and_best_trial(spark):
     assert plans.parameter_grid([4, 6]) == [
         (4, 2.0, 1.0, 0.5), (4, 2.0, 1.0, 0.0), (4, 2.0, 1.5, 0.5), (4, 2.0, 1.5, 0.0),
