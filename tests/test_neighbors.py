@@ -320,3 +320,21 @@ def test_estimates_lose_no_hit(monkeypatch, metric):
         again = knn.best_columns(a, b, 3, metric, (), least)
         assert (again[2] == scores).all() and (again[0] == rows_).all()
         assert not len(knn.best_columns(a, b, 3, metric, (), least + 1e9)[0])
+
+
+def test_rows_with_hits_elsewhere_look_for_better_ones_only(monkeypatch):
+    """Such rows begin with the score that they have, and tiles without a hit are not sorted."""
+    rng = np.random.default_rng(8)
+    c = knn.unit_rows(rng.normal(size=(300, 5)).astype(np.float32).astype(float))
+    q = c[:40]
+    monkeypatch.setattr(knn, "_TILE_ROWS", 16)
+    monkeypatch.setattr(knn, "_TILE_COLUMNS", 64)
+    for blocked in ((), np.stack([np.arange(40), np.arange(40) + 1], axis=1)):
+        rows_, cols, scores = knn.best_columns(q, c, 4, "cosine", blocked)
+        want = knn.top_columns(q, c, 4, "cosine", blocked)
+        assert all((a == b).all() for a, b in zip((rows_, cols, scores), want, strict=True))
+        calls, sort = [], np.partition
+        with monkeypatch.context() as patch:
+            patch.setattr(np, "partition", lambda *a, **b: calls.append(a) or sort(*a, **b))
+            again = knn.best_columns(q, c, 4, "cosine", blocked, scores.reshape(40, 4)[:, 3])
+        assert all((a == b).all() for a, b in zip(again, want, strict=True)) and not calls

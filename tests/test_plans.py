@@ -65,6 +65,22 @@ def test_catalog_search_gives_k_rows_per_query(spark, views, tmp_path):
     assert second["b7"] == "b8"
 
 
+def test_new_items_are_encoded_once(spark, views, tmp_path):
+    log = tmp_path / "texts"
+
+    class Logged(LengthEncoder):
+        def encode(self, texts):
+            with log.open("a") as out:
+                out.write("x" * len(texts))
+            return super().encode(texts)
+
+    members, cells = plans.build_cells(plans.build_catalog(views, make_encoder=LengthEncoder), 2, str(tmp_path / "catalog"))
+    for options in ({}, {"cells": cells, "nprobe": 2}):
+        log.write_text("")
+        assert plans.find_neighbors(views, members, 2, make_encoder=Logged, **options).count() == 8
+        assert len(log.read_text()) == 4
+
+
 def test_cells_on_disk(spark, views, tmp_path):
     catalog = plans.build_catalog(views)
     members, cells = plans.build_cells(catalog, 2, str(tmp_path / "cells"))
